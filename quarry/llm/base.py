@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -96,3 +97,25 @@ def cut(df: DataFrame) -> DataFrame:
 def crc_of_id(column: str) -> Column:
     """crc32 of the id as text."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written as compressed Parquet to the shared checkpoint folder and read again; gone when the driver ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/quarry-{uuid.uuid4().hex}/{name}"
+    df.write.option("compression", "zstd").parquet(path)
+    _file_system(spark, path)[0].deleteOnExit(_file_system(spark, path)[1].getParent())
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_kept(kept: DataFrame) -> None:
+    """Removes what ``keep`` wrote, once nothing reads it any more."""
+    for path in {f.rpartition("/")[0] for f in kept.inputFiles()}:
+        system, at = _file_system(kept.sparkSession, path)
+        system.delete(at, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context.hadoopConfiguration()), at
