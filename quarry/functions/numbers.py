@@ -7,6 +7,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def entropy(text: Column) -> Column:
@@ -21,7 +22,7 @@ def entropy(text: Column) -> Column:
     return F.when(n > 0, F.log2(n.cast("double")) - F.aggregate(characters, start, step, close) / n).when(n == 0, 0.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def compression(text: pd.Series) -> pd.Series:
     """zlib bytes over UTF-8 bytes; 0 for an empty text."""
     return text.map(lambda t: len(zlib.compress(t.encode())) / len(t.encode()) if t else 0.0, na_action="ignore").astype("float64")

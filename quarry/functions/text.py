@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 # Accented Latin letters and what they fold to.
 ACCENTED = "áàâäãéèêëíìîïóòôöõúùûüçñ"
@@ -38,13 +39,13 @@ def _fold(text: str) -> str:
     return "".join(c for c in text if not unicodedata.combining(c))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_unicode(text: pd.Series) -> pd.Series:
     """Compatibility decomposition, case folding, ligatures spelt out, combining marks dropped; null stays null."""
     return text.map(_fold, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Canonical composition."""
     return text.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
@@ -178,7 +179,7 @@ def _confused(text: str) -> str:
     return text.replace("rn", "m").replace("cl", "d").replace("1", "l").replace("0", "o")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def scan_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     """The least of the normalised Damerau distance d of the texts, 0.12 + 0.88 d of the folded and 0.22 + 0.78 d of the confusion forms."""
 
@@ -202,7 +203,7 @@ def least_similarity(query: Column) -> Column:
 
 def key_form(text: Column) -> Column:
     """Folded, upper case, only letters A-Z and digits."""
-    return F.regexp_replace(F.upper(fold_latin(text)), "[^A-Z0-9]+", "")
+    return F.upper(F.regexp_replace(fold_latin(text), "[^a-z0-9]+", ""))
 
 
 def slug(text: Column, default: str = "item") -> Column:
@@ -304,7 +305,7 @@ def has_any_character(text: Column, banned: list[str]) -> Column:
     return F.arrays_overlap(F.split(text, ""), F.array(*map(F.lit, banned)))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def sane_marks(text: pd.Series) -> pd.Series:
     """No combining mark begins a text or a word, and no letter has more than three."""
     return text.map(lambda t: not re.search(r"(?:^|\s)[̀-ͯ]|[̀-ͯ]{4}", unicodedata.normalize("NFD", t)), na_action="ignore")
