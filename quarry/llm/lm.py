@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,24 +35,30 @@ LEAST = 1e-4
 
 
 def planes(values: np.ndarray, delta: bool = False) -> bytes:
-    """64-bit values byte by byte, all first bytes first; with ``delta`` the differences of sorted values. High bytes are mostly 0."""
+    """64-bit values byte by byte, all first bytes first, compressed; with ``delta`` the differences of sorted values."""
     values = values.astype("<u8")
     if delta and len(values):
         values = np.concatenate([values[:1], np.diff(values)])
-    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return zstandard.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
 
 def unplanes(stored: bytes, delta: bool = False) -> np.ndarray:
+    stored = zstandard.decompress(stored)
     values = np.ascontiguousarray(np.frombuffer(stored, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
     return np.cumsum(values, dtype=np.uint64) if delta else values
 
 
-def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+def pair_bits(tokens: int) -> int:
+    """Bits of a pair's hash: so many that, of ``tokens`` pairs, a pair shares its hash with another in one of about a million cases."""
+    return min(64, max(tokens, 1).bit_length() + 20)
+
+
+def pair_keys(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
     """A hash of each pair of hashes."""
     x = before * np.uint64(0xBF58476D1CE4E5B9) + word
     x ^= x >> np.uint64(31)
     x *= np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(29)
+    return (x ^ x >> np.uint64(29)) >> np.uint64(64 - bits)
 
 
 class _Numbers(dict):
@@ -110,7 +117,7 @@ class Block:
     pair_of: np.ndarray  # of each token
 
     @classmethod
-    def read(cls, row: dict) -> Block:
+    def read(cls, row: dict, bits: int) -> Block:
         tokens, sizes = unplanes(row["tokens"]).astype(np.int64), np.array(row["sizes"], np.int64)
         keys = np.frombuffer(row["keys"], np.uint64)
         starts = np.zeros(len(tokens), bool)
@@ -118,7 +125,7 @@ class Block:
         word = keys[tokens]
         before = np.roll(word, 1)
         before[starts] = START
-        pairs, pair_of = np.unique(pair_keys(before, word), return_inverse=True)
+        pairs, pair_of = np.unique(pair_keys(before, word, bits), return_inverse=True)
         order = np.argsort(keys)
         return cls(tokens, sizes, np.repeat(np.array(row["train"], bool), sizes), starts, order, keys[order], pairs, pair_of)
 
@@ -128,21 +135,21 @@ class Block:
         return [(self.word_keys, words), (self.pair_keys, np.bincount(self.pair_of[self.train], minlength=len(self.pair_keys)))]
 
 
-def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
-    """Where the sorted keys of each of ``ranges`` equal ranges of hashes begin, and the end."""
-    bounds = np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)
+def _cuts(keys: np.ndarray, ranges: int, bits: int) -> np.ndarray:
+    """Where the sorted keys of each of ``ranges`` equal ranges of hashes of so many bits begin, and the end."""
+    bounds = np.array([(i << bits) // ranges for i in range(ranges)], np.uint64)
     return np.append(np.searchsorted(keys, bounds), len(keys))
 
 
-def totals(found: DataFrame, ranges: int) -> DataFrame:
+def totals(found: DataFrame, ranges: int, bits: int) -> DataFrame:
     """For each block, order and range: the totals over all blocks of the block's keys; ``owned``: how many with a total it has first."""
 
     def ask(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 columns: list[list] = [[] for _ in range(5)]
-                for order, (keys, counts) in enumerate(Block.read(row).counts(), 1):
-                    at = _cuts(keys, ranges).tolist()
+                for order, (keys, counts) in enumerate(Block.read(row, bits).counts(), 1):
+                    at = _cuts(keys, ranges, 64 if order == 1 else bits).tolist()
                     for i in range(ranges):
                         if at[i] < at[i + 1]:
                             for column, value in zip(columns, (i, row["block"], order, planes(keys[at[i] : at[i + 1]], True), planes(counts[at[i] : at[i + 1]]))):
@@ -176,12 +183,12 @@ def totals(found: DataFrame, ranges: int) -> DataFrame:
 JOINED = "block long, owned long, ids array<long>, sizes array<int>, train array<boolean>, tokens binary, word_totals binary, pair_totals binary"
 
 
-def joined(found: DataFrame, answers: DataFrame) -> DataFrame:
+def joined(found: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
     """Each block with the totals of its words (by number) and of the pair at each token."""
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        block = Block.read(row)
+        block = Block.read(row, bits)
         answers = sorted(right.to_pylist(), key=lambda r: (r["order"], r["range"]))
         words, pairs = (np.concatenate([unplanes(r["totals"]) for r in answers if r["order"] == order]) for order in (1, 2))
         by_number = np.empty(len(words), np.uint64)
@@ -277,7 +284,7 @@ def score(rows: DataFrame, weights: np.ndarray, train_tokens: int, train_docs: i
     return rows.mapInArrow(run, SCORED)
 
 
-def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, held_out (not ``train``), n_tokens, n_known, train_tokens, base_score, score: one row for each row of ``docs``.
 
     ``train`` is a boolean column: whether a document is learnt from; null is not. Tokens are lower-cased words
@@ -285,9 +292,9 @@ def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: st
     the mixture's log10 probability. Without training documents each token has probability 1 / (V + 1) = 1.
     """
     found = keep(blocks(docs, train, id_col, text_col, block_bytes), "blocks")
-    sums = found.agg(F.sum("train_tokens"), F.sum("train_docs"), F.count("*")).first()
-    train_tokens, train_docs, ranges = sums[0] or 0, sums[1] or 0, max(1, sums[2])
-    rows = keep(joined(found, totals(found, ranges)), "joined")
+    sums = found.agg(F.sum("train_tokens"), F.sum("train_docs"), F.count("*"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda n, x: n + x))).first()
+    train_tokens, train_docs, ranges, bits = sums[0] or 0, sums[1] or 0, max(1, sums[2]), pair_bits(sums[3] or 0)
+    rows = keep(joined(found, totals(found, ranges, bits), bits), "joined")
     drop_kept(found)
     distinct = rows.agg(F.sum("owned")).first()[0] or 0
     events = np.array([tuple(r) for r in held_out(rows, train_docs).collect()], np.int64).reshape(-1, 4)
