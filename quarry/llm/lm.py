@@ -49,8 +49,8 @@ def unplanes(stored: bytes, delta: bool = False) -> np.ndarray:
 
 
 def pair_bits(tokens: int) -> int:
-    """Bits of a pair's hash: so many that, of ``tokens`` pairs, a pair shares its hash with another in one of about a million cases."""
-    return min(64, max(tokens, 1).bit_length() + 20)
+    """Bits of a pair's hash: so many that, of ``tokens`` pairs, a pair shares its hash with another in one of about 65,000 cases."""
+    return min(64, max(tokens, 1).bit_length() + 16)
 
 
 def pair_keys(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
@@ -284,7 +284,7 @@ def score(rows: DataFrame, weights: np.ndarray, train_tokens: int, train_docs: i
     return rows.mapInArrow(run, SCORED)
 
 
-def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 5 << 20) -> DataFrame:
     """doc_id, held_out (not ``train``), n_tokens, n_known, train_tokens, base_score, score: one row for each row of ``docs``.
 
     ``train`` is a boolean column: whether a document is learnt from; null is not. Tokens are lower-cased words
@@ -293,7 +293,7 @@ def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: st
     """
     found = keep(blocks(docs, train, id_col, text_col, block_bytes), "blocks")
     sums = found.agg(F.sum("train_tokens"), F.sum("train_docs"), F.count("*"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda n, x: n + x))).first()
-    train_tokens, train_docs, ranges, bits = sums[0] or 0, sums[1] or 0, max(1, sums[2]), pair_bits(sums[3] or 0)
+    train_tokens, train_docs, ranges, bits = sums[0] or 0, sums[1] or 0, max(1, sums[2] // 2), pair_bits(sums[3] or 0)
     rows = keep(joined(found, totals(found, ranges, bits), bits), "joined")
     drop_kept(found)
     distinct = rows.agg(F.sum("owned")).first()[0] or 0
