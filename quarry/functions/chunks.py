@@ -1,0 +1,242 @@
+"""Cutting, aligning and locating texts: functions that need to look back at what they did, on Arrow batches."""
+
+from __future__ import annotations
+
+import difflib
+import re
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
+
+from .text import _confused, _damerau, _fold
+
+WINDOW = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("text", StringType())]))
+MATCH = StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("score", DoubleType())])
+
+
+def sentences(text: str, most: int) -> list[str]:
+    """Pieces of at most ``most`` characters: paragraphs, then sentences, then words are packed; a longer word is cut."""
+    if len(text) <= most:
+        return [text] if text.strip() else []
+    for pattern in (r"\n\s*\n", r"(?<=[.!?;])\s+", r"\s+"):
+        parts = [p for p in re.split(pattern, text) if p.strip()]
+        if len(parts) > 1:
+            out, held = [], ""
+            for part in parts:
+                if held and len(held) + 1 + len(part) > most:
+                    out += sentences(held, most)
+                    held = part
+                else:
+                    held = f"{held} {part}" if held else part
+            return out + sentences(held, most)
+    return [text[i : i + most] for i in range(0, len(text), most)]
+
+
+def windows(text: str, most: int, overlap: int, paragraphs: bool = False) -> list[tuple[int, int]]:
+    """Places (start, end) of windows of at most ``most`` characters that share about ``overlap``: each ends at the last blank (or
+    paragraph, if asked) of its second half (X34, X35)."""
+    out, start = [], 0
+    while start < len(text):
+        end = min(start + most, len(text))
+        if end < len(text):
+            half = start + most // 2
+            at = text.rfind("\n\n", half, end) if paragraphs else -1
+            at = at if at > 0 else text.rfind(" ", half, end)
+            end = at if at > start else end
+        out.append((start, end))
+        if end == len(text):
+            break
+        start = max(end - overlap, start + 1)
+    return out
+
+
+def text_windows(text: Column, most: int, overlap: int, paragraphs: bool = False) -> Column:
+    """The windows of each text with their places."""
+
+    @F.pandas_udf(WINDOW)
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"start": a, "end": b, "text": t[a:b]} for a, b in windows(t, most, overlap, paragraphs)], na_action="ignore")
+
+    return run(text)
+
+
+def packed(text: Column, most: int) -> Column:
+    """``sentences`` of each text."""
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: sentences(t, most), na_action="ignore")
+
+    return run(text)
+
+
+def tokens(text: str) -> list[tuple[str, int, int]]:
+    """Folded words with their places in the text as it is."""
+    return [(_fold(m.group()), m.start(), m.end()) for m in re.finditer(r"\w+", text)]
+
+
+def locate(quote: str, text: str, threshold: float = 0.85, margin: float = 0.05) -> dict:
+    """Where a quote stands: exact, normalized (as folded words) or fuzzy; else absent.
+
+    A fuzzy place needs the numbers and negations of the quote, and must beat every place apart from it by the margin; else it is
+    ambiguous.
+    """
+    at = text.find(quote) if quote else -1
+    if at >= 0:
+        return {"kind": "exact", "start": at, "end": at + len(quote), "score": 1.0}
+    q, t = tokens(quote), tokens(text)
+    wanted = [w for w, _, _ in q]
+    n = len(wanted)
+    absent = {"kind": "absent", "start": None, "end": None, "score": 0.0}
+    if not n or not t:
+        return absent
+    words = [w for w, _, _ in t]
+    for i in range(len(words) - n + 1):
+        if words[i] == wanted[0] and words[i : i + n] == wanted:
+            return {"kind": "normalized", "start": t[i][1], "end": t[i + n - 1][2], "score": 1.0}
+    guarded = {w for w in wanted if w.isdigit() or w in ("not", "no", "non", "ne", "nec", "nicht", "nao")}
+    scored = []
+    anchors = set(wanted)
+    for i in range(max(1, len(words) - n + 1)):
+        part = words[i : i + n]
+        if guarded <= set(part) and len(anchors.intersection(part)) * 2 >= min(n, len(part)):
+            scored.append((difflib.SequenceMatcher(None, " ".join(wanted), " ".join(part), autojunk=False).ratio(), -i))
+    if not scored or max(scored)[0] < threshold:
+        return absent
+    best, place = max(scored)
+    place = -place
+    rival = max((s for s, i in scored if abs(-i - place) >= n), default=0.0)
+    span = {"start": t[place][1], "end": t[min(place + n, len(t)) - 1][2], "score": best}
+    return {"kind": "ambiguous" if best - rival < margin else "fuzzy"} | span
+
+
+@F.pandas_udf(MATCH)
+def located(quote: pd.Series, text: pd.Series) -> pd.DataFrame:
+    """``locate`` of each quote in its text; null is absent."""
+    return pd.DataFrame([locate(q or "", t or "") for q, t in zip(quote, text)], columns=["kind", "start", "end", "score"])
+
+
+def phrase_similarity(query: str, zone: str) -> float:
+    """The best 1 - edit distance over length of the query among windows of as many words, or one more or less."""
+    q, z = query.split(), zone.split()
+    best = 0.0
+    for n in {len(q) - 1, len(q), len(q) + 1}:
+        for i in range(max(0, len(z) - n + 1) if n > 0 else 0):
+            part = " ".join(z[i : i + n])
+            if abs(len(part) - len(query)) <= (1 - best) * max(len(part), len(query)):
+                best = max(best, 1 - _damerau(query, part) / max(len(query), len(part), 1))
+    return best
+
+
+@F.pandas_udf(DoubleType())
+def best_phrase(query: pd.Series, zone: pd.Series) -> pd.Series:
+    """``phrase_similarity`` of folded texts."""
+    return pd.Series([phrase_similarity(_fold(q), _fold(z)) if q and z else 0.0 for q, z in zip(query, zone)], dtype="float64")
+
+
+def column_count(boxes: list[tuple[float, float]], width: float, most: int = 4) -> int:
+    """Columns of a page: the most narrow boxes (x1, x2) that lie side by side, 1 at least."""
+    narrow = sorted((a, b) for a, b in boxes if 0 < b - a < 0.6 * width)
+    count = 0
+    last = float("-inf")
+    for a, b in sorted(narrow, key=lambda x: x[1]):
+        if a >= last:
+            count, last = count + 1, b
+    return max(1, min(most, count))
+
+
+@F.pandas_udf(IntegerType())
+def columns_of(boxes: pd.Series, width: pd.Series) -> pd.Series:
+    """``column_count`` of arrays of [x1, x2]."""
+    return pd.Series([column_count([tuple(b) for b in own], w) if own is not None else None for own, w in zip(boxes, width)], dtype="Int32")
+
+
+def align(a: list[str], b: list[str], most_cells: int = 400) -> list[tuple[int, int, int, int, float]]:
+    """Links (start and end in a, start and end in b, cost) of two word lists.
+
+    Common runs are links of their own; what lies between them is aligned at least cost: one word to one, to none, or one to 2 - 3
+    joined ones. A gap of more cells than ``most_cells`` is one link.
+    """
+    links, i, k = [], 0, 0
+    for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
+        links += [(p + i, q + i, r + k, s + k, c) for p, q, r, s, c in _gap(a[i : m.a], b[k : m.b], most_cells)]
+        links += [(m.a + n, m.a + n + 1, m.b + n, m.b + n + 1, 0.0) for n in range(m.size)]
+        i, k = m.a + m.size, m.b + m.size
+    return links
+
+
+def _gap(a: list[str], b: list[str], most_cells: int) -> list[tuple[int, int, int, int, float]]:
+    if not a or not b:
+        return [(i, i + 1, 0, 0, 0.8) for i in range(len(a))] + [(0, 0, j, j + 1, 0.8) for j in range(len(b))]
+    if (len(a) + 1) * (len(b) + 1) > most_cells:
+        return [(0, len(a), 0, len(b), float(max(len(a), len(b))))]
+    ratio = lambda x, y: 0.0 if x == y else min(_damerau(x, y), _damerau(_confused(x), _confused(y)) + 0.22) / max(len(x), len(y), 1)
+    steps = [(1, 1), (1, 0), (0, 1), (1, 2), (1, 3), (2, 1), (3, 1)]
+    cost = [[float("inf")] * (len(b) + 1) for _ in range(len(a) + 1)]
+    back: dict[tuple[int, int], tuple[int, int, float]] = {}
+    cost[0][0] = 0.0
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            for di, dj in steps:
+                if i >= di and j >= dj and cost[i - di][j - dj] < float("inf") and (di or dj):
+                    own = 0.8 if not di or not dj else ratio("".join(a[i - di : i]), "".join(b[j - dj : j])) + (0.05 if di != dj else 0.0)
+                    if cost[i - di][j - dj] + own < cost[i][j]:
+                        cost[i][j] = cost[i - di][j - dj] + own
+                        back[i, j] = (i - di, j - dj, own)
+    links, at = [], (len(a), len(b))
+    while at != (0, 0):
+        i, j, own = back[at]
+        links.append((i, at[0], j, at[1], own))
+        at = (i, j)
+    return links[::-1]
+
+
+COMPARED = StructType([StructField(n, IntegerType() if n.startswith("n_") else DoubleType()) for n in ("n_same", "n_changed", "n_omitted", "n_added", "coverage")])
+
+
+def compared(candidate: str, reference: str) -> dict:
+    """Counts of reference words by what the candidate has for them, and the share that it covers."""
+    a, b = [w for w, _, _ in tokens(candidate)], [w for w, _, _ in tokens(reference)]
+    n = {"n_same": 0, "n_changed": 0, "n_omitted": 0, "n_added": 0}
+    for i, j, k, m, c in align(a, b):
+        if i == j:
+            n["n_omitted"] += m - k
+        elif k == m:
+            n["n_added"] += j - i
+        else:
+            n["n_same" if c == 0 else "n_changed"] += m - k
+    return n | {"coverage": (n["n_same"] + n["n_changed"]) / len(b) if b else 1.0}
+
+
+@F.pandas_udf(COMPARED)
+def compared_pages(candidate: pd.Series, reference: pd.Series) -> pd.DataFrame:
+    """``compared`` of each pair; null counts as empty."""
+    return pd.DataFrame([compared(c or "", r or "") for c, r in zip(candidate, reference)], columns=["n_same", "n_changed", "n_omitted", "n_added", "coverage"])
+
+
+def densest(text: str, summary: str, limit: int) -> str:
+    """The window of ``limit`` characters, cut at words, with most words of the summary; the first of equal ones."""
+    if len(text) <= limit:
+        return text
+    wanted = {w for w, _, _ in tokens(summary) if len(w) > 3}
+    places = [(a, b) for w, a, b in tokens(text) if w in wanted]
+    best, start, j = 0, 0, 0
+    for i, (a, _) in enumerate(places):
+        while j < len(places) and places[j][1] <= a + limit:
+            j += 1
+        if j - i > best:
+            best, start = j - i, a
+    cut = text[start : start + limit]
+    return cut[: cut.rfind(" ")] if start + limit < len(text) and " " in cut else cut
+
+
+def excerpts(text: Column, summary: Column, limit: int) -> Column:
+    """``densest`` of each text."""
+
+    @F.pandas_udf(StringType())
+    def run(texts: pd.Series, summaries: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else densest(t, s or "", limit) for t, s in zip(texts, summaries)], dtype="object")
+
+    return run(text, summary)
