@@ -53,7 +53,7 @@ def sanitize(text: str | None) -> dict:
         return {"value": None, "issues": sorted(issues | {"no_letters"})}
     if label.count("(") != label.count(")"):
         issues.add("parentheses")
-        label = re.sub(r"\s*[()]", "", label).strip()
+        label = re.sub(r"[()\s]+", " ", label).strip()
     if len(label) > 120 or len(label.split()) > 12:
         return {"value": None, "issues": sorted(issues | {"too_long"})}
     if re.fullmatch(r"[\d\s.,:;-]+", label):

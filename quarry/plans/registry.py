@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +13,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of the session's cluster, once, whatever their search path is.
+
+    Workers that never unpickle a function of the package do not load it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    folder = tempfile.mkdtemp(prefix="quarry-code-")  # read by the driver's file server alone
+    path = os.path.join(folder, "quarry.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for base, names, files in os.walk(os.path.join(root, "quarry")):
+            names[:] = [n for n in names if n != "__pycache__"]
+            for f in files:
+                out.write(os.path.join(base, f), os.path.relpath(os.path.join(base, f), root))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
+def shipped(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The function, run after ``ship``."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return function(spark, folder)
+
+    return run
+
+
 class Tables:
     """Tables of a folder as attributes: ``Tables(spark, folder).orders``."""
 
@@ -24,7 +60,7 @@ def query(sql: str | None = None):
     """Registers a function of Tables under its name, with the SQL if it can be said in SQL."""
 
     def register(function: Callable[[Tables], DataFrame]):
-        QUERIES[function.__name__] = lambda spark, folder: function(Tables(spark, folder))
+        QUERIES[function.__name__] = shipped(lambda spark, folder: function(Tables(spark, folder)))
         if sql:
             SQL[function.__name__] = sql
         return function

@@ -116,8 +116,11 @@ def follow_files(spark: SparkSession, folder: str, schema: str, checkpoint: str,
 
 
 def windowed_counts(events: DataFrame, ts: str, key: str, length: str = "1 hour", late: str = "30 minutes") -> DataFrame:
-    """start, key, n: counts by time window; rows later than the watermark are passed over. For streams and for tables."""
-    return events.withWatermark(ts, late).groupBy(F.window(ts, length).alias("w"), key).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), key, "n")
+    """start, key, n: counts by time window; of a stream, rows later than the watermark are passed over. The session's zone is UTC."""
+    kind = events.schema[ts].dataType.simpleString()
+    timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    counts = timed.groupBy(F.window(ts, length).alias("w"), key).agg(F.count("*").alias("n"))
+    return counts.select(F.col("w.start").cast(kind).alias("start"), key, "n")
 
 
 def chained_stream(pages: DataFrame, doc: str, digest: str) -> DataFrame:
