@@ -239,10 +239,11 @@ def held_out(rows: DataFrame, train_docs: int) -> DataFrame:
 def learn_weights(events: np.ndarray, train_tokens: int, distinct: int, rounds: int = 60) -> np.ndarray:
     """Weights (pair, word, uniform) of buckets 0 to 63 by expectation-maximisation; columns of ``events`` as in HELD.
 
-    A bucket without events takes those of the bucket below; without any event all weight is on the words and the uniform part.
+    A bucket without events takes those of the bucket below; before the first of them all weight is on the words and the
+    uniform part, without training tokens on the latter alone.
     """
     weights = np.empty((64, 3))
-    last = np.array([0.0, 0.9, 0.1])
+    last = np.array([0.0, 0.9, 0.1] if train_tokens else [0.0, 0.0, 1.0])
     for b in range(64):
         own = events[events[:, 0] == b]
         if len(own):

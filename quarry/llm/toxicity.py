@@ -65,7 +65,7 @@ def stem_buckets(word: bytes, bits: int) -> list[int]:
     return [zlib.crc32(word[:n] + b"-") >> (32 - bits) for n in STEMS if len(word) > n]
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 24, rank: int = 8, min_texts: int = 4, min_z: float = 5.0, max_buckets: int = 1 << 15, epochs: int = 40, seed: int = 7) -> Machine:
+def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 24, rank: int = 8, min_texts: int = 3, min_z: float = 4.0, max_buckets: int = 1 << 15, epochs: int = 40, seed: int = 7) -> Machine:
     """A machine from texts, given as arrays of distinct buckets, and their labels 0 or 1.
 
     Buckets become active if ``min_texts`` texts have them and their share differs between the labels by ``min_z`` standard errors;
