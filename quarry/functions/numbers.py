@@ -11,15 +11,11 @@ from pyspark.sql.types import DoubleType
 
 
 def entropy(text: Column) -> Column:
-    """Bits a character; 0 for an empty text (M01). Counts are taken over the sorted characters, in one pass."""
-    characters = F.array_sort(F.split(text, ""))
-    start = F.struct(F.lit(None).cast("string").alias("c"), F.lit(0).alias("n"), F.lit(0.0).alias("sum"))
-    close = lambda s: s["sum"] + F.when(s["n"] > 0, s["n"] * F.log2(s["n"].cast("double"))).otherwise(0.0)
-    step = lambda s, c: F.struct(
-        c.alias("c"), F.when(s["c"] == c, s["n"] + 1).otherwise(1).alias("n"), F.when(s["c"] == c, s["sum"]).otherwise(close(s)).alias("sum")
-    )
+    """Bits a character; 0 for an empty text (M01). A character's count is what the text loses in length without it."""
     n = F.length(text)
-    return F.when(n > 0, F.log2(n.cast("double")) - F.aggregate(characters, start, step, close) / n).when(n == 0, 0.0)
+    counts = F.transform(F.array_distinct(F.split(text, "")), lambda c: (n - F.length(F.replace(text, c, F.lit("")))).cast("double"))
+    total = F.aggregate(counts, F.lit(0.0), lambda s, k: s + F.when(k > 0, k * F.log2(k)).otherwise(0.0))
+    return F.when(n > 0, F.log2(n.cast("double")) - total / n).when(n == 0, 0.0)
 
 
 @F.pandas_udf(DoubleType())

@@ -135,8 +135,10 @@ def _value(text: str) -> int:
     return total
 
 
-def _folded_with_places(text: str) -> tuple[str, list[int]]:
+def _folded_with_places(text: str) -> tuple[str, list[int] | range]:
     """The folded text, and for each of its characters the place in the text."""
+    if text.isascii():
+        return text.lower(), range(len(text) + 1)
     out, places = [], []
     for i, c in enumerate(text):
         for f in _fold(c):

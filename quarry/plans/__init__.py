@@ -1,6 +1,6 @@
 """Queries over the given tables; importing the package registers them."""
 
 from . import registry  # isort: skip
-from . import aggregates, files, increments, joins, scripture, search, similarity, texts, windows
+from . import aggregates, facade, files, increments, joins, scripture, search, similarity, texts, windows
 
-__all__ = ["aggregates", "files", "increments", "joins", "registry", "scripture", "search", "similarity", "texts", "windows"]
+__all__ = ["aggregates", "facade", "files", "increments", "joins", "registry", "scripture", "search", "similarity", "texts", "windows"]

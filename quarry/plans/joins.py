@@ -225,3 +225,9 @@ def u09_token_overlap(t):
     pairs = t.documents.join(t.benchmark.select(F.col("item_id").alias("doc_id"), F.col("text").alias("other")), "doc_id").select("doc_id", words("text").alias("a"), words("other").alias("b")).where("size(a) > 0 and size(b) > 0")
     n = F.size(F.array_intersect("a", "b"))
     return pairs.select("doc_id", n.alias("n_common"), F.size(F.array_except("a", "b")).alias("n_left"), F.size(F.array_except("b", "a")).alias("n_right"), F.round(n / F.least(F.size("a"), F.size("b")), 6).alias("overlap"), F.round(n / F.size("b"), 6).alias("recall"))
+
+
+@query("select s_suppkey, s_name, count(l_orderkey) as n_results from supplier left join lineitem on l_suppkey = s_suppkey and l_returnflag = 'R' group by 1, 2")
+def d06_results_by_engine(t):
+    lines = t.lineitem.where("l_returnflag = 'R'").withColumnRenamed("l_suppkey", "s_suppkey")
+    return ops.left_counts(t.supplier.select("s_suppkey", "s_name"), lines, "s_suppkey", "l_orderkey").withColumnRenamed("n", "n_results")

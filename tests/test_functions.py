@@ -255,3 +255,12 @@ def test_identity_of_page_groups(spark):
     groups = windows.page_groups(pages, "volume", "page", 10).groupBy("volume", "group_no").agg(F.max("series").alias("series"), F.max("tome").alias("tome"), F.max("part").alias("part"))
     filled = windows.fill_identity(groups, "volume", "group_no", "series", "tome", "part").orderBy("group_no").collect()
     assert [r.full_tome for r in filled] == [20, 21, 21] and {r.full_series for r in filled} == {"PG"}
+
+
+def test_one_writer_for_a_volume(tmp_path):
+    from quarry.api import VolumeLock
+
+    with VolumeLock(str(tmp_path), "PG001"), pytest.raises(BlockingIOError), VolumeLock(str(tmp_path), "PG001"):
+        pass
+    with VolumeLock(str(tmp_path), "PG001"), VolumeLock(str(tmp_path), "PG002"):
+        pass
