@@ -42,8 +42,7 @@ class Corpus:
         if volumes:
             pages = pages.where(F.col("source").isin(*volumes))
         index = search.index(pages, "doc_id", F.col("text"))
-        lengths = index.select("doc", "length").distinct().agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()
-        found = search.bm25(index, words, lengths["n"] or 0, lengths["mean"] or 1.0, every=every)
+        found = search.bm25(index, words, *search.mean_length(pages, F.col("text")), every=every)
         return search.top(found.select("doc", F.round("score", 6).alias("score")), limit, "doc")
 
     def search_scripture(self, query: str) -> DataFrame:

@@ -21,6 +21,12 @@ def index(docs: DataFrame, id_col: str, text: Column, least: int = 1) -> DataFra
     return terms.groupBy("doc", "term", "length").agg(F.count("*").alias("tf"))
 
 
+def mean_length(docs: DataFrame, text: Column, least: int = 1) -> tuple[int, float]:
+    """The number of documents and the mean number of their words, without an index."""
+    row = docs.agg(F.count("*").alias("n"), F.avg(F.size(letters(F.coalesce(text, F.lit("")), least))).alias("mean")).first()
+    return row["n"], row["mean"] or 1.0
+
+
 def bm25(postings: DataFrame, query: list[str], n_docs: int, mean_length: float, k1: float = 1.2, b: float = 0.75, every: bool = False) -> DataFrame:
     """doc, score, n_terms of documents with a query term, or with every one.
 

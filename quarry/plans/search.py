@@ -17,15 +17,8 @@ def postings(t):
     return ops.index(t.documents, "doc_id", F.col("text"))
 
 
-def statistics(index):
-    row = index.select("doc", "length").distinct().agg(F.sum("length").alias("n")).first()
-    return row["n"] or 0
-
-
 def scored(t, every: bool = False, words=("the", "idiot", "thing", "license")):
-    index = postings(t)
-    n = t.documents.count()
-    return ops.bm25(index, list(words), n, statistics(index) / max(n, 1), every=every)
+    return ops.bm25(postings(t), list(words), *ops.mean_length(t.documents, F.col("text")), every=every)
 
 
 @query(f"with {POSTINGS} select doc, round(score, 6) as score, n_terms from sc")

@@ -188,11 +188,10 @@ def x21_edit_distances(t):
 
 @query()
 def x24_scan_distances(t):
-    """Each document's first line against the next one's of its source."""
-    line = F.split("text", "\n")[0]
-    after = F.lead(line).over(Window.partitionBy("source").orderBy("doc_id"))
-    pairs = t.documents.select("doc_id", F.substring(line, 1, 60).alias("a"), F.substring(after, 1, 60).alias("b"))
-    return pairs.select("doc_id", F.round(fn.scan_distance(F.col("a"), F.col("b")), 6).alias("distance"), fn.differing_characters(F.col("a"), F.col("b")).alias("differing"), fn.confusion_form(F.col("a")).alias("form"))
+    """Each part's name against the next one's of its brand."""
+    after = F.lead("p_name").over(Window.partitionBy("p_brand").orderBy("p_partkey"))
+    pairs = t.part.select("p_partkey", F.col("p_name").alias("a"), after.alias("b"))
+    return pairs.select("p_partkey", F.round(fn.scan_distance(F.col("a"), F.col("b")), 6).alias("distance"), fn.differing_characters(F.col("a"), F.col("b")).alias("differing"), fn.confusion_form(F.col("a")).alias("form"))
 
 
 @query("""select p_partkey, case when len(string_split(p_type, ' ')) = 1 then case when length(p_type) >= 9 then 0.78 when length(p_type) >= 7 then 0.82 end else case when length(p_type) >= 40 then 0.78 when length(p_type) >= 20 then 0.84 when length(p_type) >= 12 then 0.9 end end::double as least from part""")
@@ -247,10 +246,9 @@ def x50_search_records(t):
     return t.part.select("p_partkey", fn.literal(F.col("p_type")).alias("literal"), fn.record_text(F.col("p_name"), F.col("p_type"), F.col("p_brand")).alias("record"))
 
 
-@query("""with w as (select doc_id, string_split(text, ' ')[1:20] as a from documents) select doc_id, list_filter(a, lambda x, i: list_position(list_transform(a, lambda y: lower(y)), lower(x)) = i) as words from w""")
+@query("""with w as (select p_partkey, string_split(p_name || ' ' || p_type || ' ' || upper(p_name), ' ') as a from part) select p_partkey, list_filter(a, lambda x, i: list_position(list_transform(a, lambda y: lower(y)), lower(x)) = i) as words from w""")
 def x55_dedupe_words(t):
-    # The first 20 words are the list that is freed of repeats, not a cut of the rows or texts that count.
-    return t.documents.select("doc_id", fn.dedupe(F.slice(F.split("text", " "), 1, 20)).alias("words"))
+    return t.part.select("p_partkey", fn.dedupe(F.split(F.concat_ws(" ", "p_name", "p_type", F.upper("p_name")), " ")).alias("words"))
 
 
 @query("select doc_id, case when length(text) > 2000 then right(text, 2000) else text end as context from documents")
