@@ -128,9 +128,9 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 24, rank: int =
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_texts: int = 12_000, max_terms: int = 1 << 23, bits: int = 24, **options) -> Machine:
     """A machine from the labelled texts.
 
-    The bound: at most ``max_texts`` labelled ids, those with the smallest hash, and of their texts at most ``max_terms`` terms in
-    all reach the driver. An id with several labels has the largest; rows without an id or a label teach nothing. Repeated rows of
-    an id count as one text (the first by hash).
+    The bound: at most ``max_texts`` labelled ids, those with the smallest hash, are collected as hashed terms; of these, the
+    shortest texts with ``max_terms`` terms in all are learnt from. An id with several labels has the largest; rows without an id or
+    a label teach nothing. Repeated rows of an id count as one text (the shortest).
     """
     picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label")).dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_texts)
