@@ -11,10 +11,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.base import checkpoint_root, crc_of_id, table
+from quarry.llm.copies import drop_near_copies
 from quarry.llm.decontaminate import drop_contaminated
 from quarry.llm.packing import SUMS, pack
 from quarry.llm.secrets import redact_secrets
-from quarry.llm.simhash import drop_near_duplicates
 from quarry.llm.toxicity import drop_toxic, learn
 
 
@@ -25,8 +25,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document of the smallest id stays."""
-    return drop_near_duplicates(docs)
+    """Of documents that links of a Jaccard of 0.8 or more over shingles of five words connect that of the smallest id stays."""
+    return drop_near_copies(docs, width=5, threshold=0.8)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

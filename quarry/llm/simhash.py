@@ -232,7 +232,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows with a null id stay, for no id can stand for them.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
+    return keep_one(docs, near_duplicates(docs, id_col, text_col, **options), id_col)
+
+
+def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is their component's in ``found``, once each, and those without an id."""
     keep = found.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(keep, id_col, "left_semi").dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull())).select(*docs.columns)
 
