@@ -355,3 +355,58 @@ def candidate_score(numeric: Column, exact: Column, normal: Column, fuzzy: Colum
     text = F.when(exact, 60.0).when(normal, 55.0).when(fuzzy, 40.0).otherwise(0.0)
     number = F.when(numeric == 0, 40.0).when(numeric == 1, 10.0).otherwise(0.0)
     return (text + number) * F.when(uncertain, 0.5).otherwise(1.0)
+
+
+# --- whole tables against blocks of queries
+
+
+def _unit(rows) -> np.ndarray:
+    v = np.stack([np.asarray(x, float) for x in rows])
+    norm = np.sqrt((v * v).sum(1, keepdims=True))
+    return np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
+
+
+def hybrid(items: DataFrame, docs: DataFrame, k: int = 5, lexical: float = 0.6, block: int = 512) -> DataFrame:
+    """item_id, doc_id, score, confirmed: of each item the k best of all documents, by the shared part of its words and the cosine.
+
+    ``items``: item_id, words (distinct, one at least), v; ``docs``: doc_id, words (distinct), v. Items are sent in blocks, and each task
+    sends its own best.
+    """
+    blocks = max(1, -(-items.count() // block))
+    out = None
+    for i in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i).select("item_id", "words", "v").collect()  # about a block
+        shared = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
+        part = docs.select("doc_id", "words", "v").mapInPandas(_hybrid(shared, k, lexical), "item_id long, doc_id long, score double, confirmed boolean")
+        out = part if out is None else out.unionByName(part)
+    place = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id"))
+    return out.withColumn("_r", place).where(F.col("_r") <= k).drop("_r")
+
+
+def _hybrid(shared, k, lexical):
+    def run(batches):
+        import pandas as pd
+
+        items = shared.value
+        having: dict[str, list[int]] = {}
+        for i, (_, words, _) in enumerate(items):
+            for w in words:
+                having.setdefault(w, []).append(i)
+        q = _unit([v for _, _, v in items]) if items else None
+        size = np.array([len(words) for _, words, _ in items], float)[:, None]
+        for batch in batches:
+            if not len(batch) or not items:
+                continue
+            hits = np.zeros((len(items), len(batch)))
+            for j, words in enumerate(batch["words"]):
+                for w in words:
+                    if w in having:
+                        hits[having[w], j] += 1
+            part = hits / size
+            whole = lexical * part + (1 - lexical) * (q @ _unit(batch["v"]).T)
+            score, ids = np.round(whole, 5), batch["doc_id"].to_numpy()
+            for i, (key, _, _) in enumerate(items):
+                at = np.lexsort((ids, -score[i]))[:k]
+                yield pd.DataFrame({"item_id": key, "doc_id": ids[at], "score": score[i, at] + 0.0, "confirmed": (whole[i, at] >= 0.75) | (part[i, at] >= 0.8)})
+
+    return run

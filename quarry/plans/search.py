@@ -129,6 +129,15 @@ def r13_hybrid_score(t):
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id"))).where("_r <= 5").drop("_r")
 
 
+@query()
+def r13_hybrid_all(t):
+    """Each benchmark item scored against all documents; ``r13_hybrid_score`` and its SQL look at one document in forty."""
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0))).alias("words")
+    vector = lambda n: t.embeddings.select(F.col("vec_id").alias(n), F.col("embedding").cast("array<double>").alias("v")).where("v is not null")
+    items = t.benchmark.select("item_id", words(F.split("text", "\n")[0])).where("size(words) > 0").join(vector("item_id"), "item_id")
+    return ops.hybrid(items, t.documents.where("text is not null").select("doc_id", words("text")).join(vector("doc_id"), "doc_id"))
+
+
 @query("""with w as (select doc_id as doc, regexp_extract_all(lower(text), '[a-z]+') as w from documents) select doc, n from (select doc, len(list_filter(range(1, len(w) + 1), lambda i: w[i] = 'of' and w[i + 1] = 'the')) as n from w) where n > 0""")
 def r14_phrases(t):
     found = ops.phrase(t.documents, "doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)), ["of", "the"])

@@ -56,3 +56,35 @@ def test_volume_pairs(spark, tables):
     want = {(a, b): len(own[a] & own[b]) / min(len(own[a]), len(own[b])) for a, b in combinations(sorted(own), 2) if own[a] & own[b]}
     got = {(r.a, r.b): r.score for r in similarity.volume_pairs(Tables(spark, tables)).collect()}
     assert got == pytest.approx(want)
+
+
+def unit(v):
+    import numpy as np
+
+    v = np.asarray(v, float)
+    return v / (np.sqrt(v @ v) or 1)
+
+
+def test_every_item_against_all_documents(spark, tables):
+    import re
+
+    read = lambda n: spark.read.parquet(f"{tables}/{n}.parquet").collect()
+    vector = {r.vec_id: unit(r.embedding) for r in read("embeddings")}
+    words = {r.doc_id: set(re.findall("[a-z]+", r.text.lower())) for r in read("documents") if r.doc_id in vector}
+    got = defaultdict(list)
+    for r in QUERIES["r13_hybrid_all"](spark, tables).collect():
+        got[r.item_id].append(r.score)
+    items = {r.item_id: set(re.findall("[a-z]+", r.text.lower().split("\n")[0])) for r in read("benchmark") if r.item_id in vector}
+    items = {i: q for i, q in items.items() if q}
+    assert got.keys() == items.keys()
+    for i, q in items.items():
+        want = sorted((0.6 * len(q & w) / len(q) + 0.4 * float(vector[i] @ vector[d]) for d, w in words.items()), reverse=True)[:5]
+        assert sorted(got[i], reverse=True) == pytest.approx(want, abs=2e-5)
+
+
+def test_evidence_far_from_the_items_number(spark, tmp_path):
+    spark.createDataFrame([(1, "The wanted line of text\nand more"), (2, "Quite another thing")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(90_000, "first\nthe wantd line of texts", "en", "s", 1), (5, "nothing", "en", "s", 1), (7, "QUITE another thing", "en", "s", 1)]
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.item_id, r.page): r.distance for r in QUERIES["p16_located_evidence"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 90_000): round(2 / 23, 6), (2, 7): 0.0}
