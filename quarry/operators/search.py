@@ -360,12 +360,53 @@ def candidate_score(numeric: Column, exact: Column, normal: Column, fuzzy: Colum
 # --- whole tables against blocks of queries
 
 
+def most_similar(vectors: DataFrame, queries: DataFrame, id_col: str, vector: str, group: str, k: int, apart: int = -1, other_group: bool = False, last_first: bool = False, block: int = 1024) -> DataFrame:
+    """id, neighbour, score, rank: for each query the k rows of the highest cosine (5 digits), ties by id, or the largest id first.
+
+    Only rows more than ``apart`` ids away count, and with ``other_group`` only those of another group; null groups are never another.
+    Vectors of zeros score 0. ``queries`` are cut into blocks as in ``neighbours``; each task sends its own best.
+    """
+    columns = [F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.col(group).cast("string").alias("g")]
+    vectors, queries = vectors.select(*columns).where("v is not null"), queries.select(*columns).where("v is not null")
+    blocks = max(1, -(-queries.count() // block))
+    out = None
+    for i in range(blocks):
+        rows = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).collect()  # about a block
+        shared = vectors.sparkSession.sparkContext.broadcast(([r["id"] for r in rows], [r["v"] for r in rows], [r["g"] for r in rows]))
+        part = vectors.mapInPandas(_most_similar(shared, k, apart, other_group, last_first), "id long, neighbour long, score double")
+        out = part if out is None else out.unionByName(part)
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), F.desc("neighbour") if last_first else F.asc("neighbour")))
+    return out.withColumn("rank", place).where(F.col("rank") <= k)
+
+
 def _unit(rows) -> np.ndarray:
     v = np.stack([np.asarray(x, float) for x in rows])
     norm = np.sqrt((v * v).sum(1, keepdims=True))
     return np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
 
 
+def _most_similar(shared, k, apart, other_group, last_first):
+    def run(batches):
+        import pandas as pd
+
+        ids, q, groups = shared.value
+        q = _unit(q) if ids else None
+        for batch in batches:
+            if not len(batch) or not ids:
+                continue
+            scores = np.round(q @ _unit(batch["v"]).T, 5)
+            own, other = batch["id"].to_numpy(), batch["g"].to_numpy()
+            for i, (key, group) in enumerate(zip(ids, groups)):
+                may = np.abs(own - key) > apart
+                if other_group:
+                    may &= np.array([group is not None and g is not None and g != group for g in other])
+                at = np.flatnonzero(may)
+                at = at[np.lexsort((-own[at] if last_first else own[at], -scores[i, at]))[:k]]
+                yield pd.DataFrame({"id": key, "neighbour": own[at], "score": scores[i, at] + 0.0})
+
+    return run
+
+
 def hybrid(items: DataFrame, docs: DataFrame, k: int = 5, lexical: float = 0.6, block: int = 512) -> DataFrame:
     """item_id, doc_id, score, confirmed: of each item the k best of all documents, by the shared part of its words and the cosine.
 

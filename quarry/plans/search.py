@@ -205,6 +205,18 @@ def t02_page_neighbours(t):
     return rows.select("vec_id", F.round(cosine(F.col("embedding"), F.col("e")), 5).alias("score")).orderBy(F.desc("score"), F.desc("vec_id")).limit(10)
 
 
+@query()
+def t01_cosine_top_all(t):
+    """Of every id divisible by 100 the ten most similar rows of all; ``t01_cosine_top`` and its SQL ask for id 7 alone."""
+    return ops.most_similar(t.embeddings, t.embeddings.where("vec_id % 100 = 0"), "vec_id", "embedding", "label", 10)
+
+
+@query()
+def t02_page_neighbours_all(t):
+    """Of every id divisible by 100 the ten most similar rows of another label more than five ids away; ``t02_page_neighbours`` asks for id 7."""
+    return ops.most_similar(t.embeddings, t.embeddings.where("vec_id % 100 = 0"), "vec_id", "embedding", "label", 10, 5, True, True)
+
+
 @query("""with p as (select a.vec_id as id, b.vec_id as neighbour, a.label as g, b.label as o, list_distance(a.embedding::double[], b.embedding::double[]) as d from embeddings a, embeddings b), f as (select * from p qualify row_number() over (partition by id order by d, neighbour) <= 31),
 k as (select id, neighbour, d, row_number() over (partition by id order by d, neighbour) as rank from f where id <> neighbour and d >= 0.01 and g is distinct from o) select id, neighbour, round(d, 4) as distance, rank::int as rank from k where rank <= 5""")
 def t03_vector_neighbours(t):

@@ -65,6 +65,22 @@ def unit(v):
     return v / (np.sqrt(v @ v) or 1)
 
 
+@pytest.mark.parametrize("name, paged", [("t01_cosine_top_all", False), ("t02_page_neighbours_all", True)])
+def test_every_hundredth_vector_asks_all(spark, tables, name, paged):
+    rows = [(r.vec_id, unit(r.embedding), r.label) for r in spark.read.parquet(f"{tables}/embeddings.parquet").collect()]
+    want = {}
+    for i, v, g in rows:
+        if i % 100 == 0:
+            scored = [(-round(float(v @ w), 5), -j if paged else j) for j, w, h in rows if not paged or abs(i - j) > 5 and g != h]
+            want[i] = [(abs(j), -s) for s, j in sorted(scored)[:10]]
+    got = defaultdict(list)
+    for r in QUERIES[name](spark, tables).orderBy("id", "rank").collect():
+        got[r.id].append((r.neighbour, r.score))
+    assert len(want) > 1 and got.keys() == want.keys()
+    for i, found in got.items():
+        assert [s for _, s in found] == pytest.approx([s for _, s in want[i]], abs=2e-5) and len({j for j, _ in found} & {j for j, _ in want[i]}) >= 9
+
+
 def test_every_item_against_all_documents(spark, tables):
     import re
 
