@@ -1,12 +1,12 @@
-"""Near copies by the exact Jaccard similarity of word shingles.
+"""Near copies: SimHash fingerprints in BK-trees find candidates, the exact Jaccard similarity of word shingles decides.
 
-Prefix filtering: with shingles in one order, two sets of the similarity share one among the first size - ceil(threshold * size) + 1
-of each. Sets meet through those only, and each link is then counted over both whole sets, so none is lost and none is wrong.
-The order puts shingles that are frequent in a sample last; the sample bears on the time, not on the result.
+A fingerprint of 64 bits cannot tell a similarity of 0.8 (9.7 bits apart on average) from lower ones at a radius that a tree of all
+fingerprints could be searched with. Here it has 256 bits, and texts share a shard if four min-hashes of their shingle sets agree, in one
+of 20 bands: at a similarity of exactly 0.8 that misses one pair in 38,000, above it fewer. Each shard has a BK-tree, searched within
+64 bits (at 0.8 the mean is 39 and the standard deviation 5.7). Candidates are links only if both whole shingle sets say so.
 
-Links are sought in two rounds, for only components are asked for: first the few sets of a rare shingle meet, and of a frequent one
-each its neighbour and the middle one; then all of these that are not in one component yet meet, pair by pair. Signatures rule out
-most pairs before the texts are read again.
+Groups of many copies are joined in rounds, so that not all of their pairs are looked at: first each set meets the nearest one of its
+shards, then the nearest that the links so far do not reach; the last round compares all candidates that are still unconnected.
 """
 
 from __future__ import annotations
@@ -18,7 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import blank_words, cut, map_texts
-from .simhash import components, keep_one
+from .simhash import apart, components, in_parts, keep_one, shard_searches, text_hashes, whole_shards
+
+#: 64-bit words of a fingerprint, min-hashes of a band, bands.
+WORDS, ROWS, BANDS = 4, 4, 20
+#: Odd multipliers, one for each min-hash.
+MULTIPLIERS = np.random.default_rng(20).integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_set(text: bytes | None, width: int = 5, seed: int = 42) -> np.ndarray:
@@ -37,37 +42,32 @@ def set_digest(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).view(np.int64))
 
 
-def least_common(a, b, threshold: float):
-    """The fewest shingles that sets of sizes a and b share at the threshold."""
-    return np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9).astype(np.int64)
-
-
-def frequent_shingles(docs: DataFrame, id_col: str, text_col: str, width: int, sample: int = 8192, most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of up to ``most`` shingles that three or more of about ``sample`` documents have, and their counts."""
-    part = docs.sample(min(1.0, sample / max(1, docs.count())), 42).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Other hashes of hashes (the finishing step of a splittable generator)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    def run(batches):
-        for batch in batches:
-            found = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
-            shingle, n = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(n)], names=["shingle", "n"])
 
-    counts = part.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 3")
-    rows = counts.orderBy(F.desc("n"), "shingle").limit(most).toArrow()
-    shingle, n = rows.column("shingle").to_numpy().view(np.uint64), rows.column("n").to_numpy()
-    order = np.argsort(shingle)
-    return shingle[order], n[order]
+def wide_fingerprint(shingles: np.ndarray) -> bytes:
+    """``WORDS`` words; a bit is 1 if it is set in over half of the shingles' hashes (the first word is that of their own hashes)."""
+    counts = np.zeros(64 * WORDS, np.int64)
+    for start in range(0, len(shingles), 1 << 14):
+        part = shingles[start : start + (1 << 14)]
+        words = np.stack([part, *(mixed(part + np.uint64(0x9E3779B97F4A7C15 * k % (1 << 64))) for k in range(1, WORDS))], 1)
+        counts += np.unpackbits(words.astype("<u8").view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(shingles), bitorder="little").tobytes()
 
 
-def prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], threshold: float) -> np.ndarray:
-    """The first size - ceil(threshold * size) + 1 shingles, the rarest of the sample first."""
-    known, n = frequent
-    count = np.zeros(len(shingles), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        count = np.where(known[at] == shingles, n[at], 0)
-    length = len(shingles) - int(np.ceil(threshold * len(shingles) - 1e-9)) + 1 if len(shingles) else 0
-    return shingles[np.lexsort((shingles, count))[:length]]
+def band_keys(shingles: np.ndarray) -> list[int]:
+    """For each band one signed number of its min-hashes; none for the empty set."""
+    if not len(shingles):
+        return []
+    low = np.full(len(MULTIPLIERS), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for start in range(0, len(shingles), 1 << 11):
+        low = np.minimum(low, (shingles[start : start + (1 << 11), None] * MULTIPLIERS).min(axis=0))
+    keys = [xxhash.xxh64_intdigest(x.tobytes(), band) for band, x in enumerate(low.reshape(BANDS, ROWS))]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -82,112 +82,63 @@ def least_apart(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)))).sum())
 
 
-#: A token with more sets is left to the second round, where its sets are in components already.
-FEW = 8
+def shared_shards(points: DataFrame, part_size: int) -> DataFrame:
+    """shard, parts, digest, size, fp for each point in each shard that it shares with another one."""
+    keyed = points.select("digest", F.explode("bands").alias("shard"))
+    shared = keyed.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1").select("shard", F.ceil(F.col("n") / part_size).cast("int").alias("parts"))
+    return keyed.join(shared, "shard").join(points.select("digest", "size", "fp"), "digest").select("shard", "parts", "digest", "size", "fp")
 
 
-def meetings(token, size, digest, place, root, threshold: float, every: bool):
-    """Numbers (i, j) of rows with one token that may reach the threshold, in pieces. Rows are sorted by token, then size.
+def candidates(shards: DataFrame, threshold: float, radius: int, nearest: bool) -> DataFrame:
+    """a, b (digests) and distance of points of one shard, but not of one ``root``, within the radius and of sizes that allow the threshold.
 
-    Left out are pairs in one component (``root``), and those whose sizes, or what follows the token in both, cannot reach it; a
-    similar pair passes at the first token that both have. Without ``every`` the rows of a token of more than ``FEW`` meet only the
-    next one and the middle one.
-    """
-    rows = np.arange(len(token))
-    group, first, end = spans(token)
-
-    def passing(i, j):
-        i, j = np.minimum(i, j), np.maximum(i, j)
-        near = size[i] >= threshold * size[j] - 1e-9
-        can = np.minimum(size[i] - place[i], size[j] - place[j]) >= least_common(size[i], size[j], threshold)
-        ok = near & can & (root[i] != root[j]) & (digest[i] != digest[j])
-        return i[ok], j[ok]
-
-    left = rows
-    if not every:
-        many = (end - first > FEW)[group]
-        inner = rows[many & (rows + 1 < end[group])]
-        yield passing(np.r_[inner, rows[many]], np.r_[inner + 1, ((first + end) // 2)[group[many]]])
-        left = rows[~many]
-    step = 1
-    while len(left):
-        left = left[left + step < end[group[left]]]
-        left = left[size[left] >= threshold * size[left + step] - 1e-9]  # later ones are larger still
-        yield passing(left, left + step)
-        step += 1
-
-
-def spans(token):
-    """The number of each row's token, and where each token begins and ends."""
-    head = np.r_[True, token[1:] != token[:-1]]
-    first = np.flatnonzero(head)
-    return np.cumsum(head) - 1, first, np.r_[first[1:], len(token)]
-
-
-def candidates(tokens: DataFrame, threshold: float, every: bool) -> DataFrame:
-    """a < b: digests of sets that may reach the threshold and are not in one component. ``tokens``: token, size, digest, place, root.
-
-    Without ``every`` the rows of tokens of more than ``FEW`` sets come too, with their token, size and place; their digest is a.
+    All such pairs, once or more; with ``nearest`` for each point the nearest it finds among those of its part of a shard.
     """
+    columns = ("shard", "digest", "root", "size", "fp")
+    if nearest:
+        part = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("parts"))
+        tasks = shards.select(F.lit(2).cast("byte").alias("side"), F.xxhash64("shard", part).alias("shard"), *columns[1:])
+    else:
+        mixed_roots = shards.groupBy("shard").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("shard")
+        tasks = in_parts(shards.join(mixed_roots, "shard"), "digest").select("side", *columns)
 
     def run(batches):
-        held = None
-        for batch in batches:
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-            held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
-            whole = int(np.searchsorted(held[0], held[0][-1]))  # the last token may go on
-            if whole > 1 << 16:
-                yield from out([x[:whole] for x in held])
-                held = [x[whole:] for x in held]
-        if held is not None and len(held[0]):
-            yield from out(held)
-
-    def out(columns):
-        token, size, digest, place, root = columns
-        found, n = [], 0
-        for i, j in meetings(token, size.astype(np.int64), digest, place.astype(np.int64), root, threshold, every):
-            found.append(np.stack([np.minimum(digest[i], digest[j]), np.maximum(digest[i], digest[j])], 1))
-            n += len(i)
-            if n > 1 << 20:
-                yield batch_of(found)
-                found, n = [], 0
-        yield batch_of(found)
-        if not every:
-            group, first, end = spans(token)
-            many = (end - first > FEW)[group]
-            yield batch([digest[many], None, token[many], size[many], place[many]], int(many.sum()))
-
-    def batch_of(found):
-        pairs = np.concatenate([np.empty((0, 2), np.int64), *found])
-        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-        new = np.r_[True, (pairs[1:] != pairs[:-1]).any(1)] if len(pairs) else np.empty(0, bool)
-        return batch([pairs[new, 0], pairs[new, 1], None, None, None], int(new.sum()))
-
-    def batch(columns, n):
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.nulls(n, k) if x is None else pa.array(x, k) for x, k in zip(columns, kinds)], names=["a", "b", "token", "size", "place"])
-
-    together = tokens.select("token", "size", "digest", "place", "root").repartition("token").sortWithinPartitions("token", "size", "digest")
-    return together.mapInArrow(run, "a long, b long, token long, size int, place int")
+        for side, shard, digest, root, size, fp in whole_shards(batches, 6, 1):
+            points = np.frombuffer(b"".join(fp), "<u8").reshape(len(fp), WORDS)
+            for q, p in shard_searches(shard, side, points, radius):
+                small, large = np.minimum(size[q], size[p]), np.maximum(size[q], size[p])
+                ok = (root[q] != root[p]) & (small >= threshold * large - 1e-9) & ((side[q] == 1) | (digest[q] < digest[p]) | nearest)
+                q, p = q[ok], p[ok]
+                distance = apart(points[q], points[p])
+                if nearest:
+                    order = np.lexsort((digest[p], distance, q))
+                    q, p, distance = q[order], p[order], distance[order]
+                    head = np.r_[True, q[1:] != q[:-1]] if len(q) else np.empty(0, bool)
+                    q, p, distance = q[head], p[head], distance[head]
+                yield pa.RecordBatch.from_arrays([pa.array(digest[q]), pa.array(digest[p]), pa.array(distance, pa.int32())], names=["a", "b", "distance"])
+
+    together = tasks.repartition("shard").sortWithinPartitions("shard", "digest")
+    return together.mapInArrow(run, "a long, b long, distance int")
 
 
 def screened(pairs: DataFrame, points: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose signatures leave it open whether they reach the threshold; none that does is lost."""
-    side = lambda n: points.select(F.col("digest").alias(n), F.col("size").alias(f"size_{n}"), F.col("signature").alias(f"bits_{n}"))
+
+    def side(name):
+        return points.select(F.col("digest").alias(name), F.col("size").alias(f"size_{name}"), F.col("signature").alias(f"bits_{name}"))
 
     def run(batches):
         for batch in batches:
             size = batch.column(2).to_numpy() + batch.column(4).to_numpy()
-            apart = np.fromiter(map(least_apart, batch.column(3).to_pylist(), batch.column(5).to_pylist()), np.int64, batch.num_rows)
-            yield batch.select([0, 1]).filter(pa.array(apart <= size * (1 - threshold) / (1 + threshold) + 1e-6))
+            least = np.fromiter(map(least_apart, batch.column(3).to_pylist(), batch.column(5).to_pylist()), np.int64, batch.num_rows)
+            yield batch.select([0, 1]).filter(pa.array(least <= size * (1 - threshold) / (1 + threshold) + 1e-6))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "bits_a", "size_b", "bits_b")
     return both.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, threshold: float) -> DataFrame:
-    """The pairs whose sets reach the threshold, counted in full."""
-    asked = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
+def sets_of(asked: DataFrame, points: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """digest, shingles: the whole set of each asked digest, from the text of one of its rows."""
     ids = points.join(asked, "digest", "left_semi").select(F.col("first").alias("doc_id")).where("doc_id is not null")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.join(ids, "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))  # sets of rows without an id may link others
@@ -196,44 +147,71 @@ def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, id_col: str,
         sets = [shingle_set(t, width) for t in texts]
         return {"digest": [set_digest(x) for x in sets], "shingles": [x.view(np.int64) for x in sets]}
 
-    sets = map_texts(texts, run, "digest long, shingles array<long>").drop("doc_id").join(asked, "digest", "left_semi").dropDuplicates(["digest"])
-    side = lambda n: sets.select(F.col("digest").alias(n), F.col("shingles").alias(f"s{n}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    sets = map_texts(texts, run, "digest long, shingles array<long>").drop("doc_id")
+    return sets.join(asked, "digest", "left_semi").dropDuplicates(["digest"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose sets reach the threshold, counted in full."""
+    both = pairs
+    for name in ("a", "b"):
+        both = both.join(sets.select(F.col("digest").alias(name), F.col("shingles").alias(f"s{name}")), name)
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common >= threshold * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """doc_id, component_id (the smallest doc_id that links of the similarity reach), one row for each row of ``docs``.
-
-    Null and empty texts, and texts of blanks, are copies of each other. Rows with a null id link others like any row, but give a
-    component no id unless all of its rows have none: then component_id is null.
-    """
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, id_col, text_col, width))
+def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: float, radius: int, part_size: int) -> DataFrame:
+    """doc_id, text_hash, digest, component_id for each row of ``docs``."""
 
     def run(_, texts):
         sets = [shingle_set(t, width) for t in texts]
-        return {"digest": [set_digest(x) for x in sets], "size": [len(x) for x in sets], "signature": [signature(x).tobytes() for x in sets], "prefix": [prefix(x, frequent.value, threshold).view(np.int64) for x in sets]}
-
-    marked = cut(map_texts(docs, run, "digest long, size int, signature binary, prefix array<long>", id_col, text_col))
-    points = cut(marked.groupBy("digest").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("size", "signature", "prefix")]))
-    check = lambda pairs: cut(verified(cut(screened(pairs.distinct(), points, threshold)), points, docs, id_col, text_col, width, threshold))
-    tokens = points.select("size", "digest", F.col("digest").alias("root"), F.posexplode("prefix").alias("place", "token"))
-    met = cut(candidates(tokens, threshold, False))
-    links = check(met.where("b is not null").select("a", "b"))
-    roots = components(links)
-    many = met.where("b is null").select("token", "size", F.col("a").alias("digest"), "place")
-    many = many.join(roots, many.digest == roots.node, "left").select(*many.columns, F.coalesce("root", "digest").alias("root"))
-    links = links.unionByName(check(candidates(many, threshold, True).select("a", "b")))
+        return {
+            "text_hash": text_hashes(texts),
+            "digest": [set_digest(x) for x in sets],
+            "size": [len(x) for x in sets],
+            "fp": [wide_fingerprint(x) for x in sets],
+            "signature": [signature(x).tobytes() for x in sets],
+            "bands": [band_keys(x) for x in sets],
+        }
+
+    schema = "text_hash long, digest long, size int, fp binary, signature binary, bands array<long>"
+    marked = cut(map_texts(docs, run, schema, id_col, text_col))
+    points = cut(marked.groupBy("digest").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("size", "fp", "signature", "bands")]))
+    shards = cut(shared_shards(points, part_size))
+
+    def nearest(rooted):
+        found = candidates(rooted, threshold, radius, True)
+        return found.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("low")).select("a", F.col("low.b").alias("b"))
+
+    def rooted(links):
+        roots = components(links)
+        return roots, shards.join(roots, shards.digest == roots.node, "left").select(*shards.columns, F.coalesce("root", "digest").alias("root"))
+
+    pairs = cut(nearest(shards.withColumn("root", F.col("digest"))))
+    # a point of a shard in several parts may have its first candidate in a later round
+    late = shards.where("parts > 1").select("digest")
+    asked = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).unionByName(late).distinct()
+    sets = cut(sets_of(asked, points, docs, id_col, text_col, width))
+    links = cut(verified(pairs, sets, threshold))
+    pairs = nearest(rooted(links)[1])
+    links = cut(links.unionByName(verified(pairs, sets, threshold)))
+    pairs = candidates(rooted(links)[1], threshold, radius, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = links.unionByName(verified(cut(screened(pairs, points, threshold)), sets, threshold))
     roots = components(links)
     root = points.join(roots, points.digest == roots.node, "left").select("digest", "first", F.coalesce("root", "digest").alias("root"))
     names = root.join(root.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("digest", "component_id")
-    return marked.select("doc_id", "digest").join(names, "digest").select("doc_id", "component_id")
+    return marked.select("doc_id", "text_hash", "digest").join(names, "digest")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest id; of its repeated rows one stays.
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, radius: int = 64, part_size: int = 1024) -> DataFrame:
+    """doc_id, component_id (the smallest doc_id that links of the similarity reach), one row for each row of ``docs``.
 
-    Rows with a null id stay, for no id can stand for them.
+    Null and empty texts, and texts of blanks, are copies of each other. Rows with a null id link others like any row, but give a
+    component no id unless all of its rows have none: then component_id is null.
     """
-    return keep_one(docs, near_copies(docs, id_col, text_col, **options), id_col)
+    return grouped(docs, id_col, text_col, width, threshold, radius, part_size).select("doc_id", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, radius: int = 64, part_size: int = 1024) -> DataFrame:
+    """``docs`` with one row of each component, see ``keep_one``: that of the smallest id."""
+    return keep_one(docs, grouped(docs, id_col, text_col, width, threshold, radius, part_size), id_col, text_col)

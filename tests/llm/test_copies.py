@@ -73,10 +73,30 @@ def test_given_table(spark, tables):
     assert {r.doc_id: r.component_id for r in c.near_copies(docs).collect()} == slow_copies(rows)
 
 
-def test_order_and_prefix():
-    shingles = np.arange(10, dtype=np.uint64)
-    assert c.prefix(shingles, (np.array([0, 1], np.uint64), np.array([9, 5])), 0.8).tolist() == [2, 3, 4]
-    assert len(c.prefix(shingles[:0], (shingles[:0], np.empty(0, int)), 0.8)) == 0
+def test_bands_and_fingerprints():
+    draw = np.random.default_rng(4)
+    both = draw.integers(0, 1 << 63, 900).astype(np.uint64)
+    a, b = (np.unique(np.r_[both[:800], x]) for x in (both[800:], draw.integers(0, 1 << 63, 100).astype(np.uint64)))
+    assert set(c.band_keys(a)) & set(c.band_keys(b)) and len(c.band_keys(a)) == c.BANDS and c.band_keys(a[:0]) == []
+    x, y = (np.frombuffer(c.wide_fingerprint(v), np.uint64) for v in (a, b))
+    assert 10 < np.bitwise_count(x ^ y).sum() < 64
+    bits = [sum(int(h) >> k & 1 for h in a) * 2 > len(a) for k in range(64)]
+    assert [bool(int(x[0]) >> k & 1) for k in range(64)] == bits
+
+
+def test_parts_of_shards_give_the_same(spark):
+    rows = edited()
+    got = c.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), part_size=6)
+    assert {r.doc_id: r.component_id for r in got.collect()} == slow_copies(rows)
+
+
+def test_the_row_that_stays(spark):
+    """Not any row of the smallest id, but that of the component; whatever the order of the rows."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, long, "x"), (5, long, "x"), (5, "another text altogether", "x"), (5, "another text altogether", "x"), (5, "another text altogether", "y")]
+    for order in (rows, rows[::-1]):
+        kept = c.drop_near_copies(spark.createDataFrame(order, "doc_id long, text string, source string")).collect()
+        assert sorted(map(tuple, kept)) == [(3, long, "x"), (5, "another text altogether", "x")]
 
 
 def test_signatures_rule_out_no_similar_pair():

@@ -5,8 +5,8 @@ import corpus_pipeline as c
 from quarry.llm import secrets as s
 from quarry.llm.packing import pack_shard
 
+from .test_copies import slow_copies
 from .test_decontaminate import brute as leaks
-from .test_simhash import slow_components, slow_fingerprint
 
 
 def test_stages_in_order(spark, tables):
@@ -22,8 +22,7 @@ def test_stages_in_order(spark, tables):
     assert gone and len(gone) < 0.3 * docs.count() and len(toxic & gone) >= 0.5 * len(toxic)
 
     two = c.near_duplicates(spark, one, tables).cache()
-    rows = [(r.doc_id, slow_fingerprint(r.text)) for r in one.collect()]
-    first = {i for (i, _), low in zip(rows, slow_components(rows)) if i == low}
+    first = set(slow_copies([(r.doc_id, r.text) for r in one.collect()]).values())
     assert two.columns == docs.columns and sorted(r.doc_id for r in two.collect()) == sorted(first)
 
     three = c.decontaminate(spark, two, tables).cache()
