@@ -26,15 +26,33 @@ WORDS, ROWS, BANDS = 4, 4, 20
 MULTIPLIERS = np.random.default_rng(20).integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingle_set(text: bytes | None, width: int = 5, seed: int = 42) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of all shingles of ``width`` words; of a shorter text its one line, without words none."""
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Other hashes of hashes (the finishing step of a splittable generator)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class WordHashes(dict):
+    """XXH64 of each word, computed once."""
+
+    def __missing__(self, word):
+        value = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return value
+
+
+def shingle_set(text: bytes | None, width: int = 5, known: WordHashes | None = None) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of all shingles of ``width`` words; of a shorter text of its whole sequence, without words none."""
     words = blank_words(text)
-    line, digest = b" ".join(words), xxhash.xxh64_intdigest
-    if len(words) <= width:
-        return np.array([digest(line, seed)] if words else [], np.uint64)
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(size + 1) - 1
-    return np.unique(np.array([digest(line[a:b], seed) for a, b in zip((ends - size).tolist(), ends[width - 1 :].tolist())], np.uint64))
+    if not words:
+        return np.empty(0, np.uint64)
+    known = WordHashes() if known is None else known
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    width = min(width, len(words))
+    total = np.zeros(len(words) - width + 1, np.uint64)
+    for k in range(width):  # a polynomial in the place of the word, then mixed
+        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + len(total)]
+    return np.unique(mixed(total + np.uint64(width)))
 
 
 def set_digest(shingles: np.ndarray) -> int:
@@ -42,20 +60,15 @@ def set_digest(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).view(np.int64))
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Other hashes of hashes (the finishing step of a splittable generator)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def wide_fingerprint(shingles: np.ndarray) -> bytes:
     """``WORDS`` words; a bit is 1 if it is set in over half of the shingles' hashes (the first word is that of their own hashes)."""
     counts = np.zeros(64 * WORDS, np.int64)
     for start in range(0, len(shingles), 1 << 14):
         part = shingles[start : start + (1 << 14)]
         words = np.stack([part, *(mixed(part + np.uint64(0x9E3779B97F4A7C15 * k % (1 << 64))) for k in range(1, WORDS))], 1)
-        counts += np.unpackbits(words.astype("<u8").view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        bits = np.unpackbits(words.astype("<u8").view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
+        for at in range(0, len(bits), 255):  # the sum of 255 bits is a byte
+            counts += np.add.reduce(bits[at : at + 255], axis=0, dtype=np.uint8)
     return np.packbits(counts * 2 > len(shingles), bitorder="little").tobytes()
 
 
@@ -64,8 +77,8 @@ def band_keys(shingles: np.ndarray) -> list[int]:
     if not len(shingles):
         return []
     low = np.full(len(MULTIPLIERS), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for start in range(0, len(shingles), 1 << 11):
-        low = np.minimum(low, (shingles[start : start + (1 << 11), None] * MULTIPLIERS).min(axis=0))
+    for start in range(0, len(shingles), 1 << 9):
+        low = np.minimum(low, (shingles[None, start : start + (1 << 9)] * MULTIPLIERS[:, None]).min(axis=1))
     keys = [xxhash.xxh64_intdigest(x.tobytes(), band) for band, x in enumerate(low.reshape(BANDS, ROWS))]
     return np.array(keys, np.uint64).view(np.int64).tolist()
 
@@ -82,19 +95,20 @@ def least_apart(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)))).sum())
 
 
-def shared_shards(points: DataFrame, part_size: int) -> DataFrame:
-    """shard, parts, digest, size, fp for each point in each shard that it shares with another one."""
+def shared_shards(points: DataFrame) -> DataFrame:
+    """shard, n (its points), digest, size, fp for each point in each shard that it shares with another one."""
     keyed = points.select("digest", F.explode("bands").alias("shard"))
-    shared = keyed.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1").select("shard", F.ceil(F.col("n") / part_size).cast("int").alias("parts"))
-    return keyed.join(shared, "shard").join(points.select("digest", "size", "fp"), "digest").select("shard", "parts", "digest", "size", "fp")
+    shared = keyed.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1")
+    return keyed.join(shared, "shard").join(points.select("digest", "size", "fp"), "digest").select("shard", "n", "digest", "size", "fp")
 
 
-def candidates(shards: DataFrame, threshold: float, radius: int, nearest: bool) -> DataFrame:
+def candidates(shards: DataFrame, threshold: float, radius: int, part_size: int, nearest: bool) -> DataFrame:
     """a, b (digests) and distance of points of one shard, but not of one ``root``, within the radius and of sizes that allow the threshold.
 
     All such pairs, once or more; with ``nearest`` for each point the nearest it finds among those of its part of a shard.
     """
     columns = ("shard", "digest", "root", "size", "fp")
+    shards = shards.withColumn("parts", F.ceil(F.col("n") / part_size).cast("int"))
     if nearest:
         part = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("parts"))
         tasks = shards.select(F.lit(2).cast("byte").alias("side"), F.xxhash64("shard", part).alias("shard"), *columns[1:])
@@ -105,9 +119,11 @@ def candidates(shards: DataFrame, threshold: float, radius: int, nearest: bool)
     def run(batches):
         for side, shard, digest, root, size, fp in whole_shards(batches, 6, 1):
             points = np.frombuffer(b"".join(fp), "<u8").reshape(len(fp), WORDS)
+            if not nearest:
+                side = np.where((side == 2) & of_largest(shard, root), 0, side)
             for q, p in shard_searches(shard, side, points, radius):
                 small, large = np.minimum(size[q], size[p]), np.maximum(size[q], size[p])
-                ok = (root[q] != root[p]) & (small >= threshold * large - 1e-9) & ((side[q] == 1) | (digest[q] < digest[p]) | nearest)
+                ok = (root[q] != root[p]) & (small >= threshold * large - 1e-9) & ((side[p] != 2) | (digest[q] < digest[p]) | nearest)
                 q, p = q[ok], p[ok]
                 distance = apart(points[q], points[p])
                 if nearest:
@@ -121,6 +137,19 @@ def candidates(shards: DataFrame, threshold: float, radius: int, nearest: bool)
     return together.mapInArrow(run, "a long, b long, distance int")
 
 
+def of_largest(shard: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Whether a row is of the root that most rows of its shard have; these need not ask each other."""
+    order = np.lexsort((root, shard))
+    head = np.r_[True, (shard[order][1:] != shard[order][:-1]) | (root[order][1:] != root[order][:-1])]
+    run = np.cumsum(head) - 1
+    size, at = np.bincount(run), order[head]
+    best = np.lexsort((size, shard[at]))
+    last = best[np.r_[shard[at][best][1:] != shard[at][best][:-1], True]]
+    out = np.empty(len(shard), bool)
+    out[order] = np.isin(run, last)
+    return out
+
+
 def screened(pairs: DataFrame, points: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose signatures leave it open whether they reach the threshold; none that does is lost."""
 
@@ -144,7 +173,8 @@ def sets_of(asked: DataFrame, points: DataFrame, docs: DataFrame, id_col: str, t
     texts = texts.join(ids, "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))  # sets of rows without an id may link others
 
     def run(_, texts):
-        sets = [shingle_set(t, width) for t in texts]
+        known = WordHashes()
+        sets = [shingle_set(t, width, known) for t in texts]
         return {"digest": [set_digest(x) for x in sets], "shingles": [x.view(np.int64) for x in sets]}
 
     sets = map_texts(texts, run, "digest long, shingles array<long>").drop("doc_id")
@@ -164,7 +194,8 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, threshold:
     """doc_id, text_hash, digest, component_id for each row of ``docs``."""
 
     def run(_, texts):
-        sets = [shingle_set(t, width) for t in texts]
+        known = WordHashes()
+        sets = [shingle_set(t, width, known) for t in texts]
         return {
             "text_hash": text_hashes(texts),
             "digest": [set_digest(x) for x in sets],
@@ -177,25 +208,25 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, threshold:
     schema = "text_hash long, digest long, size int, fp binary, signature binary, bands array<long>"
     marked = cut(map_texts(docs, run, schema, id_col, text_col))
     points = cut(marked.groupBy("digest").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("size", "fp", "signature", "bands")]))
-    shards = cut(shared_shards(points, part_size))
+    shards = cut(shared_shards(points))
 
     def nearest(rooted):
-        found = candidates(rooted, threshold, radius, True)
+        found = candidates(rooted, threshold, radius, min(part_size, 128), True)
         return found.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("low")).select("a", F.col("low.b").alias("b"))
 
     def rooted(links):
         roots = components(links)
-        return roots, shards.join(roots, shards.digest == roots.node, "left").select(*shards.columns, F.coalesce("root", "digest").alias("root"))
+        return shards.join(roots, shards.digest == roots.node, "left").select(*shards.columns, F.coalesce("root", "digest").alias("root"))
 
     pairs = cut(nearest(shards.withColumn("root", F.col("digest"))))
     # a point of a shard in several parts may have its first candidate in a later round
-    late = shards.where("parts > 1").select("digest")
+    late = shards.where(F.col("n") > min(part_size, 128)).select("digest")
     asked = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).unionByName(late).distinct()
     sets = cut(sets_of(asked, points, docs, id_col, text_col, width))
     links = cut(verified(pairs, sets, threshold))
-    pairs = nearest(rooted(links)[1])
+    pairs = nearest(rooted(links))
     links = cut(links.unionByName(verified(pairs, sets, threshold)))
-    pairs = candidates(rooted(links)[1], threshold, radius, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = candidates(rooted(links), threshold, radius, part_size, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = links.unionByName(verified(cut(screened(pairs, points, threshold)), sets, threshold))
     roots = components(links)
     root = points.join(roots, points.digest == roots.node, "left").select("digest", "first", F.coalesce("root", "digest").alias("root"))

@@ -213,23 +213,47 @@ def whole_shards(batches, columns: int, shard: int, rows: int = 1 << 14):
         yield held
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, root: the smallest node (as a signed long) of each linked node's component, by alternating star steps.
+def contracted(edges: DataFrame) -> DataFrame:
+    """u, v (v < u): in each partition every node with the smallest one that the partition's edges reach from it."""
 
-    Both steps hang nodes under smaller neighbours until each component is a star; intermediate stars are cut from their lineage.
+    def run(batches):
+        got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        if not got:
+            return
+        nodes, ends = np.unique(np.concatenate([np.concatenate(x) for x in zip(*got)]), return_inverse=True)
+        half = len(ends) // 2
+        label = forest(ends[:half], ends[half:], len(nodes))
+        moved = np.flatnonzero(label != np.arange(len(nodes)))
+        for at in range(0, len(moved), 1 << 16):
+            part = moved[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[part]), pa.array(nodes[label[part]])], names=["u", "v"])
+
+    return edges.mapInArrow(run, "u long, v long")
+
+
+def components(edges: DataFrame, part: int = 1 << 20) -> DataFrame:
+    """node, root: the smallest node (as a signed long) of each linked node's component.
+
+    Edges are dealt to partitions of about ``part`` of them, whatever their nodes; each replaces its own by stars. If there are several
+    partitions alternating star steps follow: both hang nodes under smaller neighbours until each component is a star. Intermediate
+    stars are cut from their lineage.
     """
-    stars = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = cut(edges.where("a <> b").select("a", "b"))
+    parts = -(-edges.count() // part)
+    stars = cut(contracted(edges.repartition(max(1, parts))))
     mark = None
-    while True:
+    while parts > 1:
         now = stars.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if now == mark or not now[0]:
-            return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        if now == mark:
+            break
         mark = now
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
         wide = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         low = wide.groupBy("u").agg(F.min("v").alias("low"))
-        stars = cut(wide.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("low").alias("v")), F.struct(F.col("v").alias("u"), F.col("low").alias("v")))).alias("s")).select("s.*").where("u <> v").distinct())
+        ends = F.array(F.struct(F.col("u"), F.col("low").alias("v")), F.struct(F.col("v").alias("u"), F.col("low").alias("v")))
+        stars = cut(wide.join(low, "u").select(F.explode(ends).alias("s")).select("s.*").where("u <> v").distinct())
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
 def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, radius: int, part_size: int) -> DataFrame:

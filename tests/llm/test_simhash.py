@@ -74,12 +74,12 @@ def clusters(seed, centres=30, each=20):
     return out
 
 
-@pytest.mark.parametrize("part_size", [4, 50, 1024])
-def test_links_give_the_components_of_all_pairs(spark, part_size):
-    """Also where shards are cut into parts of a few points."""
+@pytest.mark.parametrize("part_size, edges", [(4, 1 << 20), (50, 40), (1024, 150)])
+def test_links_give_the_components_of_all_pairs(spark, part_size, edges):
+    """Also where shards are cut into parts of a few points, and links into parts of a few."""
     points = sorted(set(clusters(3)))
     frame = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in points], "fp long")
-    roots = {r.node % (1 << 64): r.root for r in s.components(s.links(frame, 4, part_size)).collect()}
+    roots = {r.node % (1 << 64): r.root for r in s.components(s.links(frame, 4, part_size), edges).collect()}
     want = slow_components([(i, p) for i, p in enumerate(points)])
     groups, expected = {}, {}
     for p, w in zip(points, want):
