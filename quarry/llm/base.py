@@ -76,10 +76,12 @@ def _arrow(spark: SparkSession, ddl: str) -> pa.Schema:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; where it is unset (one machine, tests) a temporary one."""
+    """The shared folder of ``spark.checkpoint.dir``; where it is unset on one machine (tests) a temporary one, on a cluster an error."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quarry-checkpoint-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         root = f"file://{root}"

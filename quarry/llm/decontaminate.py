@@ -139,13 +139,30 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, i
     return (found[0] if len(found) == 1 else _merge(found)).drop("text_hash").withColumn("items", F.array_sort("items"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs, with all their columns.
 
-    An id with one contaminated row goes with all its rows. Rows with a null id are kept: no decision can be joined to them.
+    Each row is decided by its own text where it is read: nothing is joined or shuffled, and repeated rows fare alike, with an id or
+    without. Null and empty texts stay. Each block of items is one filter; what one drops the next does not see.
     """
-    found = find_contamination(docs, benchmark, width, id_col, text_col, **options)
-    return docs.join(found.where(F.size("spans") > 0).select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti").select(*docs.columns)
+    at = docs.columns.index(text_col)
+    schema = docs.schema
+
+    def clean(windows):
+        shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(windows))
+
+        def run(batches):
+            own = pickle.loads(shared.value)
+            for batch in slices(batches, at):
+                texts = [t.encode() if t else None for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array([not spans for _, spans, _ in scan_shard(texts, own)]))
+
+        return run
+
+    for block in item_blocks(benchmark, item_col, item_text_col, block_bytes):
+        items = [(r["item_id"], bytes(r["text"])) for r in block.collect()]  # bounded by block_bytes
+        docs = docs.mapInArrow(clean(windows_of(items, width)), schema)
+    return docs
 
 
 def op7_decontaminate(spark, sf_dir) -> DataFrame:

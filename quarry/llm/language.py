@@ -76,21 +76,25 @@ class _Known(dict):
         return sums
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_texts: int = 4_000, max_words: int = 50_000, max_grams: int = 50_000, longest: int = 5, unseen_weight: float = 1.0) -> Model:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_texts: int = 4_000, max_words: int = 50_000, max_grams: int = 50_000, longest: int = 5, unseen_weight: float = 1.0, max_languages: int = 256) -> Model:
     """A model from the texts with a language.
 
     The bounds: of each language at most ``max_texts`` texts are read, those with the smallest hash of id and text; each language keeps
     its ``max_words`` most frequent words and ``max_grams`` n-grams of up to ``longest`` characters (of words marked ^ and $), each
-    counted twice or more. Null languages and null texts teach nothing; ties go by the word itself.
+    counted twice or more. Rows that repeat id, text and language count as one. Null languages and null texts teach nothing; ties go
+    by the word itself. More than ``max_languages`` languages are an error: the column then holds something else.
     """
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
-    draw = F.xxhash64("doc_id", "text")
+    known = known.withColumn("draw", F.xxhash64("doc_id", "text"))
     # A cut of the hash that lets through about twice the bound; the exact bound is then a sort of few rows.
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    each = known.select("lang", "doc_id", "draw").distinct().groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(each) > max_languages:
+        raise ValueError(f"more than {max_languages} languages in column {lang_col}")
+    sizes = {r["lang"]: r["count"] for r in each}
     if not sizes:
         return Model([], {}, {}, np.empty((0, 0), np.float32), longest, unseen_weight)
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2 * max_texts / n))])[F.col("lang")]
-    few = known.withColumn("draw", draw).where((F.col("draw") / F.lit(2.0**64) + 0.5) <= share)
+    few = known.where((F.col("draw") / F.lit(2.0**64) + 0.5) <= share)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
     picked = few.select("doc_id", "draw", "lang").distinct().withColumn("place", place).where(F.col("place") <= max_texts)
     chosen = few.dropDuplicates(["doc_id", "draw", "lang"]).join(F.broadcast(picked.select("doc_id", "draw", "lang")), ["doc_id", "draw", "lang"], "left_semi").select("lang", "text")
@@ -166,5 +170,5 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 def op9_language(spark, sf_dir) -> DataFrame:
     """Languages of all ``documents``, learnt from ids whose crc32 mod 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
-    held_out = crc_of_id("doc_id") % 4 == 2
+    held_out = F.coalesce(crc_of_id("doc_id") % 4 == 2, F.lit(False))
     return identify(docs, learn(docs.where(~held_out))).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

@@ -4,11 +4,15 @@
 
 f are maximum-likelihood estimates from the counts of all training documents; b is the bucket of the context's frequency, the
 integer part of its binary logarithm. The weights of a bucket are learnt by expectation-maximisation on held-out counts: each
-training event is deleted from its own counts, and the mixture has to predict it from what is left.
+training event is deleted from its own counts, and the mixture has to predict it from what is left. The n-grams are words and pairs.
 
-The counts are sorted arrays of 64-bit hashes. A block of documents sends each range of hashes its own distinct words and word
-pairs with their counts; the range adds up those of all blocks and sends each block its totals. So a key that fills a third of the
-text is one number for each block, and what is sent grows with the distinct keys of the blocks, not with the tokens.
+The counts are sorted arrays of 64-bit hashes. A run of blocks of documents adds up its distinct words and word pairs and sends each
+range of hashes its part of them; the range adds up those of all runs and sends each run its totals. So a key that fills a third of
+the text is one number for each run, and what is sent grows with the distinct keys of the runs, not with the tokens. The messages are
+as many as runs times ranges: with 64 MB of text a run and 4 million tokens a range some 30,000 at 10 GB, each of some 20,000 keys.
+
+What is approximate: two words or pairs in 2^64 share a hash; and the weights are learnt from held-out ratios rounded to a sixteenth of
+a binary logarithm (2.2 % at most), of which a table of a bounded size is all that reaches the driver. Scores use the exact counts.
 """
 
 from __future__ import annotations
@@ -48,17 +52,12 @@ def unplanes(stored: bytes, delta: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=np.uint64) if delta else values
 
 
-def pair_bits(tokens: int) -> int:
-    """Bits of a pair's hash: so many that, of ``tokens`` pairs, a pair shares its hash with another in one of about 65,000 cases."""
-    return min(64, max(tokens, 1).bit_length() + 16)
-
-
-def pair_keys(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     """A hash of each pair of hashes."""
     x = before * np.uint64(0xBF58476D1CE4E5B9) + word
     x ^= x >> np.uint64(31)
     x *= np.uint64(0x94D049BB133111EB)
-    return (x ^ x >> np.uint64(29)) >> np.uint64(64 - bits)
+    return x ^ x >> np.uint64(29)
 
 
 class _Numbers(dict):
@@ -67,17 +66,18 @@ class _Numbers(dict):
         return number
 
 
-BLOCKS = "block long, train_tokens long, train_docs long, ids array<long>, sizes array<int>, train array<boolean>, keys binary, tokens binary"
+BLOCKS = "run long, block long, train_tokens long, train_docs long, ids array<long>, sizes array<int>, train array<boolean>, keys binary, tokens binary"
 
 
-def blocks(docs: DataFrame, train, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
-    """Documents in blocks of about ``block_bytes`` of text: their words' hashes, and their tokens as numbers of words."""
+def blocks(docs: DataFrame, train, id_col: str, text_col: str, block_bytes: int, run_bytes: int) -> DataFrame:
+    """Documents in blocks of about ``block_bytes`` of text, and these in runs of about ``run_bytes``: their words' hashes, and their tokens as numbers of words."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
 
     def run(batches):
         from pyspark import TaskContext
 
-        made = TaskContext.get().partitionId() << 32
+        made = run_id = TaskContext.get().partitionId() << 32
+        held = 0
         for part in slices(batches, 1, block_bytes):
             numbers = _Numbers({END: 0})
             tokens, sizes = [], []
@@ -89,10 +89,13 @@ def blocks(docs: DataFrame, train, id_col: str, text_col: str, block_bytes: int)
             keys = np.fromiter((xxhash.xxh64_intdigest(w) for w in numbers), np.uint64, len(numbers))
             learnt = part.column(2).to_pylist()
             columns = {
-                "block": [made], "train_tokens": [sum(n for n, t in zip(sizes, learnt) if t)], "train_docs": [sum(learnt)], "ids": [part.column(0).to_pylist()],
+                "run": [run_id], "block": [made], "train_tokens": [sum(n for n, t in zip(sizes, learnt) if t)], "train_docs": [sum(learnt)], "ids": [part.column(0).to_pylist()],
                 "sizes": [sizes], "train": [learnt], "keys": [keys.tobytes()], "tokens": [planes(np.concatenate(tokens))],
             }
             made += 1
+            held += sum(len(k) for k in part.column(1).to_pylist() if k)
+            if held >= run_bytes:
+                run_id, held = made, 0
             yield pa.RecordBatch.from_pydict(columns, schema=_schema(BLOCKS))
 
     return source.mapInArrow(run, BLOCKS)
@@ -117,7 +120,7 @@ class Block:
     pair_of: np.ndarray  # of each token
 
     @classmethod
-    def read(cls, row: dict, bits: int) -> Block:
+    def read(cls, row: dict) -> Block:
         tokens, sizes = unplanes(row["tokens"]).astype(np.int64), np.array(row["sizes"], np.int64)
         keys = np.frombuffer(row["keys"], np.uint64)
         starts = np.zeros(len(tokens), bool)
@@ -125,7 +128,7 @@ class Block:
         word = keys[tokens]
         before = np.roll(word, 1)
         before[starts] = START
-        pairs, pair_of = np.unique(pair_keys(before, word, bits), return_inverse=True)
+        pairs, pair_of = np.unique(pair_keys(before, word), return_inverse=True)
         order = np.argsort(keys)
         return cls(tokens, sizes, np.repeat(np.array(row["train"], bool), sizes), starts, order, keys[order], pairs, pair_of)
 
@@ -135,33 +138,40 @@ class Block:
         return [(self.word_keys, words), (self.pair_keys, np.bincount(self.pair_of[self.train], minlength=len(self.pair_keys)))]
 
 
-def _cuts(keys: np.ndarray, ranges: int, bits: int) -> np.ndarray:
-    """Where the sorted keys of each of ``ranges`` equal ranges of hashes of so many bits begin, and the end."""
-    bounds = np.array([(i << bits) // ranges for i in range(ranges)], np.uint64)
-    return np.append(np.searchsorted(keys, bounds), len(keys))
+def _cuts(keys: np.ndarray, ranges: int) -> list[int]:
+    """Where the sorted keys of each of ``ranges`` equal ranges of hashes begin, and the end."""
+    return np.append(np.searchsorted(keys, np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)), len(keys)).tolist()
 
 
-def totals(found: DataFrame, ranges: int, bits: int) -> DataFrame:
-    """For each block, order and range: the totals over all blocks of the block's keys; ``owned``: how many with a total it has first."""
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with the sums of their counts."""
+    own, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return own, np.bincount(place, np.concatenate(counts).astype(np.float64), len(own)).astype(np.int64)
 
-    def ask(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                columns: list[list] = [[] for _ in range(5)]
-                for order, (keys, counts) in enumerate(Block.read(row, bits).counts(), 1):
-                    at = _cuts(keys, ranges, 64 if order == 1 else bits).tolist()
-                    for i in range(ranges):
-                        if at[i] < at[i + 1]:
-                            for column, value in zip(columns, (i, row["block"], order, planes(keys[at[i] : at[i + 1]], True), planes(counts[at[i] : at[i + 1]]))):
-                                column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, asked)], schema=asked)
-
-    request = "range long, block long, order long, keys binary, counts binary"
+
+def totals(found: DataFrame, ranges: int) -> DataFrame:
+    """For each run, order and range: the totals over all runs of the run's keys; ``owned``: how many with a total it has first."""
+    request = "range long, run long, order long, keys binary, counts binary"
     asked = _schema(request)
-    answer = "block long, order long, range long, totals binary, owned long"
+
+    def ask(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: r["block"])
+        both = zip(*(Block.read(row).counts() for row in rows))
+        columns: list[list] = [[] for _ in range(5)]
+        for order, found in enumerate(both, 1):
+            keys, counts = _added(*zip(*found))
+            at = _cuts(keys, ranges)
+            for i in range(ranges):
+                if at[i] < at[i + 1]:
+                    part = slice(at[i], at[i + 1])
+                    for column, value in zip(columns, (i, rows[0]["run"], order, planes(keys[part], True), planes(counts[part]))):
+                        column.append(value)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, asked)], schema=asked)
+
+    answer = "run long, order long, range long, totals binary, owned long"
 
     def add(group: pa.Table) -> pa.Table:
-        rows = sorted(group.to_pylist(), key=lambda r: (r["order"], r["block"]))
+        rows = sorted(group.to_pylist(), key=lambda r: (r["order"], r["run"]))
         out: list[list] = [[] for _ in range(5)]
         for order in (1, 2):
             own = [r for r in rows if r["order"] == order]
@@ -173,31 +183,38 @@ def totals(found: DataFrame, ranges: int, bits: int) -> DataFrame:
             ends = np.cumsum([len(k) for k in keys])
             owned = np.bincount(np.searchsorted(ends, first[total > 0], side="right"), minlength=len(own))
             for r, n, end, k in zip(own, owned.tolist(), ends.tolist(), keys):
-                for column, value in zip(out, (r["block"], order, r["range"], planes(total[place[end - len(k) : end]]), n)):
+                for column, value in zip(out, (r["run"], order, r["range"], planes(total[place[end - len(k) : end]]), n)):
                     column.append(value)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(out, _schema(answer))], schema=_schema(answer))
 
-    return found.select(*_schema(BLOCKS).names).mapInArrow(ask, request).groupBy("range").applyInArrow(add, answer)
+    return found.groupBy("run").applyInArrow(ask, request).groupBy("range").applyInArrow(add, answer)
 
 
 JOINED = "block long, owned long, ids array<long>, sizes array<int>, train array<boolean>, tokens binary, word_totals binary, pair_totals binary"
 
 
-def joined(found: DataFrame, answers: DataFrame, bits: int) -> DataFrame:
-    """Each block with the totals of its words (by number) and of the pair at each token."""
+def joined(found: DataFrame, answers: DataFrame) -> DataFrame:
+    """Each block with the totals of its words (by number) and of the pair at each token; a run's first block has what the run owns."""
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        block = Block.read(row, bits)
+        rows = sorted(left.to_pylist(), key=lambda r: r["block"])
         answers = sorted(right.to_pylist(), key=lambda r: (r["order"], r["range"]))
+        read = [Block.read(row) for row in rows]
+        asked = [np.unique(np.concatenate(keys)) for keys in zip(*((b.word_keys, b.pair_keys) for b in read))]
         words, pairs = (np.concatenate([unplanes(r["totals"]) for r in answers if r["order"] == order]) for order in (1, 2))
-        by_number = np.empty(len(words), np.uint64)
-        by_number[block.word_order] = words
         owned = sum(r["owned"] for r in answers if r["order"] == 1)
-        columns = {"block": [row["block"]], "owned": [owned], "ids": [row["ids"]], "sizes": [row["sizes"]], "train": [row["train"]], "tokens": [row["tokens"]], "word_totals": [planes(by_number)], "pair_totals": [planes(pairs[block.pair_of])]}
-        return pa.Table.from_pydict(columns, schema=_schema(JOINED))
+        out: dict[str, list] = {name: [] for name in _schema(JOINED).names}
+        for row, block in zip(rows, read):
+            by_number = np.empty(len(block.word_keys), np.uint64)
+            by_number[block.word_order] = words[np.searchsorted(asked[0], block.word_keys)]
+            own = pairs[np.searchsorted(asked[1], block.pair_keys)][block.pair_of]
+            values = (row["block"], owned, row["ids"], row["sizes"], row["train"], row["tokens"], planes(by_number), planes(own))
+            owned = 0
+            for column, value in zip(out.values(), values):
+                column.append(value)
+        return pa.Table.from_pydict(out, schema=_schema(JOINED))
 
-    return found.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, JOINED)
+    return found.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(join, JOINED)
 
 
 def _events(row: dict, train_docs: int) -> tuple[np.ndarray, ...]:
@@ -285,17 +302,19 @@ def score(rows: DataFrame, weights: np.ndarray, train_tokens: int, train_docs: i
     return rows.mapInArrow(run, SCORED)
 
 
-def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 5 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 5 << 20, run_bytes: int = 1 << 26, range_tokens: int = 1 << 22) -> DataFrame:
     """doc_id, held_out (not ``train``), n_tokens, n_known, train_tokens, base_score, score: one row for each row of ``docs``.
 
     ``train`` is a boolean column: whether a document is learnt from; null is not. Tokens are lower-cased words
     ``[^\\x20\\x09-\\x0D]+``, then one end; null and empty texts have the end alone. ``base_score`` is the add-half unigram score, ``score``
     the mixture's log10 probability. Without training documents each token has probability 1 / (V + 1) = 1.
     """
-    found = keep(blocks(docs, train, id_col, text_col, block_bytes), "blocks")
-    sums = found.agg(F.sum("train_tokens"), F.sum("train_docs"), F.count("*"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda n, x: n + x))).first()
-    train_tokens, train_docs, ranges, bits = sums[0] or 0, sums[1] or 0, max(1, sums[2] // 2), pair_bits(sums[3] or 0)
-    rows = keep(joined(found, totals(found, ranges, bits), bits), "joined")
+    found = keep(blocks(docs, train, id_col, text_col, block_bytes, run_bytes), "blocks")
+    tokens = F.aggregate("sizes", F.lit(0).cast("long"), lambda n, x: n + x)
+    sums = found.agg(F.sum("train_tokens"), F.sum("train_docs"), F.countDistinct("run"), F.sum(tokens)).first()
+    train_tokens, train_docs = sums[0] or 0, sums[1] or 0
+    ranges = max(1, min(sums[2], 8), -(-(sums[3] or 0) // range_tokens))
+    rows = keep(joined(found, totals(found, ranges)), "joined")
     drop_kept(found)
     distinct = rows.agg(F.sum("owned")).first()[0] or 0
     events = np.array([tuple(r) for r in held_out(rows, train_docs).collect()], np.int64).reshape(-1, 4)

@@ -7,6 +7,7 @@ grows more slowly than the number of items.
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
 
@@ -22,9 +23,17 @@ from .base import slices, table
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(2)
+def _added(path: str) -> tuple[re.Pattern | None, dict[str, int]] | None:
+    """The vocabulary's added tokens, which are taken out of a text before all else; None if their rules are more than their strings."""
+    added = {t.content: (n, t) for n, t in _tokenizer(path).get_added_tokens_decoder().items()}
+    if any(t.normalized or t.single_word or t.lstrip or t.rstrip for _, t in added.values()):
+        return None
+    longest_first = sorted(added, key=len, reverse=True)
+    return re.compile("|".join(map(re.escape, longest_first))) if added else None, {k: n for k, (n, _) in added.items()}
 
 
 @lru_cache(2)
@@ -35,16 +44,30 @@ def _ranks(path: str):
 
 
 def token_ids(text: str, vocabulary: str, ranks: str | None) -> np.ndarray:
-    """Ids of the whole text. With ``ranks``, the same vocabulary in ranked form, the faster library gives the same ids; what it
-    cannot take (very long runs of blanks overflow its matcher) goes to the other."""
-    if ranks:
+    """Ids of the whole text as the tokenizer in ``vocabulary`` gives them, its added tokens included.
+
+    With ``ranks``, the same vocabulary in ranked form, the faster library gives the same ids for what lies between added tokens; what
+    it cannot take (very long runs of blanks overflow its matcher) goes to the tokenizer.
+    """
+    added = _added(vocabulary) if ranks else None
+    if added:
+        pattern, number = added
         try:
-            return np.asarray(_ranks(ranks).encode_to_numpy(text, allowed_special=set(), disallowed_special=()), np.uint32)
+            parts, at = [], 0
+            for found in pattern.finditer(text) if pattern else ():
+                parts += [_ranked(text[at : found.start()], ranks), np.array([number[found.group()]], np.uint32)]
+                at = found.end()
+            parts.append(_ranked(text[at:], ranks))
+            return np.concatenate(parts)
         except ValueError:
             pass
     return np.array(_tokenizer(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32)
 
 
+def _ranked(text: str, ranks: str) -> np.ndarray:
+    return np.asarray(_ranks(ranks).encode_to_numpy(text, allowed_special=set(), disallowed_special=()), np.uint32)
+
+
 class Packer:
     """Windows of ``size`` tokens, filled online. ``put`` returns (window, offset); windows are numbered from 0."""
 

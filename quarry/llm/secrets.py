@@ -13,7 +13,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
-from .base import map_texts
+from .base import map_texts, slices
 
 # The patterns of the base kinds, in their order.
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -30,6 +30,10 @@ HEXADECIMAL = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 #: Names in snake, kebab or path form and numbers: each part is a word (with a number after it) or a number.
 IDENTIFIER = re.compile(r"[+/_=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,4}|\d+)(?:[+/_=-]+(?:(?:[A-Z]?[a-z]+|[A-Z]+)\d{0,4}|\d+))*[+/_=-]*\Z")
+#: Least characters of an identifier that can be random: of long words in four languages, 33 of 4,586 with 16 letters or more are under
+#: two characters a token, with 20 or more 2, with 24 or more none.
+NAMED = 20
+SEPARATORS = re.compile(r"[+/_=-]+")
 #: Camel case without digits.
 CAMEL = re.compile(r"(?:[A-Z]?[a-z]{2,})(?:[A-Z][a-z]{2,})*\Z")
 
@@ -44,20 +48,30 @@ def _encoding(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def is_opaque(run: str, encoding, max_ratio: float, window: int = 256) -> bool:
+def ratio(parts: list[str], encoding) -> float:
+    """Characters per token of the parts together."""
+    return sum(map(len, parts)) / max(1, sum(len(encoding.encode_ordinary(p)) for p in parts))
+
+
+def is_opaque(run: str, encoding, max_ratio: float, window: int = 64) -> bool:
     """Whether a run is random by its characters per token, and neither a known digest nor an identifier.
 
-    A run is measured in windows of ``window`` characters, so a very long one costs no more for each character; one random window
-    of 16 characters or more suffices.
+    An identifier is exempt if its parts with letters are token-efficient themselves, or shorter than ``NAMED`` characters together. Other runs are random if any of their windows
+    of ``window`` characters (each overlaps the next by half) or any part of 16 characters or more between separators is, so neither a
+    path before a key nor the length of a run hides it.
     """
-    if HEXADECIMAL.match(run) and (len(run) in DIGEST_DIGITS or run.isdigit()) or UUID.match(run) or CAMEL.match(run) or IDENTIFIER.match(run):
+    if HEXADECIMAL.match(run) and (len(run) in DIGEST_DIGITS or run.isdigit()) or UUID.match(run):
         return False
     if len(set(run)) < 8:  # rules, padding, table borders
         return False
-    pieces = (run[i : i + window] for i in range(0, len(run), window))
-    if any(len(piece) >= 16 and len(piece) < max_ratio * len(encoding.encode_ordinary(piece)) for piece in pieces):
+    parts = [p for p in SEPARATORS.split(run) if p]
+    if CAMEL.match(run) or IDENTIFIER.match(run):
+        named = [p for p in parts if not p.isdigit()]
+        return sum(map(len, named)) >= NAMED and ratio(named, encoding) < max_ratio
+    if any(len(p) >= 16 and len(set(p)) >= 8 and not HEXADECIMAL.match(p) and ratio([p], encoding) < max_ratio for p in parts):
         return True
-    return False
+    pieces = [run] if len(run) <= window else (run[i : i + window] for i in range(0, len(run) - window // 2, window // 2))
+    return any(len(piece) >= 16 and len(set(piece)) >= 8 and ratio([piece], encoding) < max_ratio for piece in pieces)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -132,14 +146,14 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", vocabulary_path: str | None = None, max_ratio: float = 2.0, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each secret's span replaced by ``mark``; all columns and rows stay, null texts too."""
+    """``docs`` with each secret's span replaced by ``mark``; all columns and rows stay, repeated ones and null and empty texts too."""
     import pyarrow as pa
 
     at = docs.columns.index(text_col)
 
     def run(batches):
         encoding = _encoding(vocabulary(vocabulary_path))
-        for batch in batches:
+        for batch in slices(batches, at):
             column = batch.column(at)
             texts = []
             for text in column.to_pylist():

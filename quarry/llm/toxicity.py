@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import crc_of_id, item_words, map_texts, table
+from .base import crc_of_id, cut, item_words, map_texts, slices, table
 
 
 @dataclass
@@ -125,43 +125,49 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 24, rank: int =
     return Machine(bits, seen[chosen], float(b), w, v)
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_texts: int = 12_000, max_terms: int = 1 << 23, bits: int = 24, **options) -> Machine:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_texts: int = 12_000, max_terms: int = 1 << 23, bits: int = 24, min_texts: int = 3, min_z: float = 4.0, max_buckets: int = 1 << 15, **options) -> Machine:
     """A machine from the labelled texts.
 
-    The bound: at most ``max_texts`` labelled ids, those with the smallest hash, are collected as hashed terms; of these, the
-    shortest texts with ``max_terms`` terms in all are learnt from. An id with several labels has the largest; rows without an id or
-    a label teach nothing. Repeated rows of an id count as one text (the shortest).
+    The bound: the labelled ids with a text are taken in the order of a hash of the id, at most ``max_texts`` of them and ``max_terms``
+    terms in all. An id with several labels has the largest; one with several texts that of the smallest hash, so repeated rows count
+    as one. Rows without an id or a label teach nothing. Terms are counted in the cluster; to the driver come ``max_texts`` sizes and
+    the rows' buckets that ``fit`` can use, at most ``max_buckets`` different ones.
     """
-    picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label")).dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
-    picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_texts)
+    picked = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label")).dropna().groupBy("doc_id").agg((F.max("label") > 0).cast("int").alias("label"))
+    picked = cut(picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_texts))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(picked.select("doc_id")), "doc_id", "left_semi")
 
     def terms(_, texts):
         words = [set(item_words(t)) for t in texts]
         return {
+            "text_hash": [zlib.crc32(t or b"") for t in texts],
             "words": [sorted({word_bucket(w, bits) for w in own}) for own in words],
             "stems": [sorted({stem << 3 | zlib.crc32(w) & 7 for w in own for stem in stem_buckets(w, bits)}) for own in words],
         }
 
-    chosen = {r["doc_id"]: int(r["label"] > 0) for r in picked.collect()}
-    rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for batch in map_texts(texts, terms, "words array<int>, stems array<int>").toArrow().to_batches():
-        for doc_id, *both in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-            own = tuple(np.asarray(x.values, np.int32) for x in both)
-            if doc_id not in rows or (len(own[0]), own[0].tobytes()) < (len(rows[doc_id][0]), rows[doc_id][0].tobytes()):
-                rows[doc_id] = own
+    found = map_texts(texts, terms, "text_hash long, words array<int>, stems array<int>")
+    found = found.groupBy("doc_id").agg(F.min_by(F.struct("words", "stems"), "text_hash").alias("own")).select("doc_id", "own.*")
+    found = cut(found.join(F.broadcast(picked), "doc_id"))
+    sizes = found.select("doc_id", "label", F.size("words").alias("n"), F.xxhash64("doc_id").alias("draw")).orderBy("draw", "doc_id").collect()  # max_texts rows at most
+    kept = {r["doc_id"]: r["label"] for r, total in zip(sizes, np.cumsum([r["n"] for r in sizes])) if total <= max_terms}
+    if not 0 < sum(kept.values()) < len(kept):
+        return fit([np.empty(0, np.int64)] * len(kept), np.array(list(kept.values()), float), bits, **options)
+    spark = docs.sparkSession
+    used = found.join(F.broadcast(spark.createDataFrame([(k,) for k in kept], "doc_id long")), "doc_id", "left_semi")
     # A stem is a term if several words of texts with label 1 share it; else it would only repeat a word.
-    tagged = np.unique(np.concatenate([stems for doc_id, (_, stems) in rows.items() if chosen[doc_id]] or [np.empty(0, np.int32)]))
-    stem, forms = np.unique(tagged >> 3, return_counts=True)
-    shared = stem[forms >= 3]
-    data, held = [], 0  # short texts first, so the bound on terms costs as few texts as it can
-    for doc_id, (words, stems) in sorted(rows.items(), key=lambda x: (len(x[1][0]), x[0])):
-        row = np.union1d(words, np.intersect1d(stems >> 3, shared))
-        held += len(row)
-        if held > max_terms:
-            break
-        data.append((row, chosen[doc_id]))
-    return fit([row for row, _ in data], np.array([y for _, y in data], float), bits, **options)
+    tagged = used.where("label = 1").select(F.explode("stems").alias("tagged")).distinct()
+    shared = tagged.groupBy(F.shiftright("tagged", 3).alias("term")).count().where("count >= 3").select("term")
+    stems = used.select("doc_id", "label", F.explode("stems").alias("tagged")).select("doc_id", "label", F.shiftright("tagged", 3).alias("term")).join(shared, "term", "left_semi")
+    rows = used.select("doc_id", "label", F.explode("words").alias("term")).unionByName(stems).distinct()
+    n, n1 = len(kept), sum(kept.values())
+    counts = rows.groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("with1")).where(F.col("n") >= min_texts)
+    share = (F.col("n") + 1) / (n + 2)
+    z = F.abs(F.col("with1") / n1 - (F.col("n") - F.col("with1")) / (n - n1)) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / (n - n1)))
+    active = counts.withColumn("z", z).where(F.col("z") >= min_z).orderBy(F.desc("z"), "term").limit(max_buckets).select("term")
+    data = dict.fromkeys(kept, np.empty(0, np.int64))
+    for batch in rows.join(F.broadcast(active), "term").groupBy("doc_id").agg(F.sort_array(F.collect_list("term")).alias("terms")).toArrow().to_batches():
+        data |= {doc_id: np.asarray(own.values, np.int64) for doc_id, own in zip(batch.column(0).to_pylist(), batch.column(1))}
+    return fit(list(data.values()), np.array(list(kept.values()), float), bits, min_texts=min_texts, min_z=min_z, max_buckets=max_buckets, **options)
 
 
 class _Places(dict):
@@ -198,7 +204,10 @@ def score_texts(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_
 
 
 def drop_toxic(docs: DataFrame, machine: Machine, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` whose score is below the threshold, with all their columns."""
+    """The rows of ``docs`` whose score is below the threshold, with all their columns; repeated rows fare alike.
+
+    Null and empty texts have the machine's bias as their score, and stay unless that reaches the threshold.
+    """
     import pyarrow as pa
 
     shared = docs.sparkSession.sparkContext.broadcast(machine)
@@ -206,7 +215,7 @@ def drop_toxic(docs: DataFrame, machine: Machine, text_col: str = "text", thresh
 
     def run(batches):
         places = _Places(shared.value)
-        for batch in batches:
+        for batch in slices(batches, at):
             texts = [t.encode() if t else None for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(shared.value.probabilities(_active(texts, places)) < threshold))
 
@@ -216,6 +225,6 @@ def drop_toxic(docs: DataFrame, machine: Machine, text_col: str = "text", thresh
 def op2_toxicity(spark, sf_dir) -> DataFrame:
     """Scores of all ``documents``; learnt from ``labels`` of ids whose crc32 mod 3 is not 1."""
     docs = table(spark, sf_dir, "documents")
-    held_out = crc_of_id("doc_id") % 3 == 1
+    held_out = F.coalesce(crc_of_id("doc_id") % 3 == 1, F.lit(False))
     machine = learn(docs, table(spark, sf_dir, "labels").where(~held_out))
     return score_texts(docs, machine).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -25,3 +25,9 @@ def messy(spark):
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def small():
+    """Tables of some 1,000 documents."""
+    return "/root/testdata/sf0.01"

@@ -1,4 +1,9 @@
+import math
+import zlib
+from collections import Counter
+
 import numpy as np
+import pytest
 
 from quarry.llm import language as g
 
@@ -48,6 +53,74 @@ def test_messy(spark, messy, empty):
     assert {r.lang_pred for r in g.identify(messy, nothing).collect()} == {"und"}
 
 
+def slow_query(rows):
+    """Every text counts: the bounds of the sample and of the terms must not be reached."""
+    words, grams = {}, {}
+    for i, text, lang in rows:
+        if text is None or lang is None or zlib.crc32(str(i).encode()) % 4 == 2:
+            continue
+        for w in g.words_of(text):
+            words.setdefault(lang, Counter())[w] += 1
+            marked = f"^{w}$"
+            for size in range(1, 6):
+                for start in range(len(marked) - size + 1):
+                    grams.setdefault(lang, Counter())[marked[start : start + size]] += 1
+    langs = sorted(set(words) | set(grams))
+
+    def logs(tables):
+        kept = {lang: {t: n for t, n in tables.get(lang, {}).items() if n > 1} for lang in langs}
+        assert all(len(x) < 50_000 for x in kept.values())
+        terms = {t for x in kept.values() for t in x}
+        sums = {lang: sum(kept[lang].values()) + 0.5 * len(terms) for lang in langs}
+        out = {}
+        for t in terms:
+            row = [math.log((kept[lang].get(t, 0) + 0.5) / sums[lang]) for lang in langs]
+            out[t] = [x - sum(row) / len(row) for x in row]
+        return out
+
+    known, parts = logs(words), logs(grams)
+
+    def word(w):
+        if w in known:
+            return known[w]
+        marked, found = f"^{w}$", []
+        for start in range(len(marked)):
+            own = next((marked[start:end] for end in range(min(len(marked), start + 5), start, -1) if marked[start:end] in parts), None)
+            if own:
+                found.append(parts[own])
+        return [sum(x) / len(found) for x in zip(*found)] if found else [0.0] * len(langs)
+
+    out = {}
+    for i, text, _ in rows:
+        own = [word(w) for w in g.words_of(text)]
+        total = [sum(x) for x in zip(*own)]
+        out[i] = (langs[total.index(max(total))], 1 / sum(math.exp(x - max(total)) for x in total)) if own else ("und", 0.0)
+    return out
+
+
+def test_query_against_plain_python(spark, small):
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    want = slow_query(rows)
+    found = g.op9_language(spark, small).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.lang_pred == want[r.doc_id][0] and r.score == pytest.approx(want[r.doc_id][1], abs=1e-3)
+
+
+def test_repeated_rows_do_not_shrink_the_sample(spark):
+    """Of 401 distinct texts 100 teach, though one of them is there 40,000 times."""
+    name = lambda i: "w" + "".join(chr(97 + int(d)) for d in str(i))
+    rows = [(i, f"{name(i)} {name(i)}", "en") for i in range(400)] + [(1000, "again and again", "en")] * 40_000
+    m = g.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), max_texts=100, max_grams=100_000)
+    assert 99 <= len(m.words) <= 101
+
+
+def test_too_many_languages_are_an_error(spark):
+    docs = spark.createDataFrame([(i, "text", f"l{i}") for i in range(9)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError):
+        g.learn(docs, max_languages=8)
+
+
 def test_bound_on_texts(spark):
     docs = spark.createDataFrame([(i, f"word{i % 9} other", "en" if i % 2 else "de") for i in range(400)], "doc_id long, text string, lang string")
     m = g.learn(docs, max_texts=20, max_words=3, max_grams=4)

@@ -53,12 +53,12 @@ def brute(rows):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [5 << 20, 20_000])
-def test_query_against_brute_force(spark, tables, block_bytes):
-    """In one block for each task and in many."""
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 20_000, "run_bytes": 70_000, "range_tokens": 9_000}])
+def test_query_against_brute_force(spark, tables, sizes):
+    """In one block for each task and in many, in several runs and ranges."""
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
-    found = {r.doc_id: r for r in lm.score_documents(docs, lm.crc_of_id("doc_id") % 5 != 1, block_bytes=block_bytes).collect()}
+    found = {r.doc_id: r for r in lm.score_documents(docs, lm.crc_of_id("doc_id") % 5 != 1, **sizes).collect()}
     assert len(found) == len(rows)
     for i, n, known, train, base, score in brute([tuple(r) for r in rows]):
         r = found[i]
@@ -77,7 +77,7 @@ def test_packed_arrays():
     values = np.sort(draw.integers(0, 1 << 63, 1000).astype(np.uint64))
     assert (lm.unplanes(lm.planes(values)) == values).all() and (lm.unplanes(lm.planes(values, True), True) == values).all()
     assert len(lm.unplanes(lm.planes(values[:0]))) == 0
-    assert lm._cuts(values, 7, 64)[0] == 0 and lm._cuts(values, 7, 64)[-1] == 1000
+    assert lm._cuts(values, 7)[0] == 0 and lm._cuts(values, 7)[-1] == 1000
     assert lm.bucket(np.array([0, 1, 2, 3, 4, 1 << 40])).tolist() == [0, 0, 1, 1, 2, 40]
 
 

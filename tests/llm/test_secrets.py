@@ -44,6 +44,8 @@ def test_query_against_brute_force(spark, tables):
     [
         ("kX9vQ2mZr8LpT4wYb7Nc", True), ("3f76bb46f51625a07193ae74d1cc485f", False), ("some_long_variable_name_2", False), ("123e4567-e89b-12d3-a456-426614174000", False),
         ("internationalization", False), ("thisIsACamelCaseName", False), ("====================", False), ("2024-01-02/2025-03-04", False),
+        ("qzkvxwpjtrbnmhgfdlscyaeu", True), ("QZKVXWPJTRBNMHGFDLSCYAEU", True), ("AB12-XK34-QF56-ZH78-WJ90", True), ("usr/local/share/configuration/" * 9 + "kX9vQ2mZr8LpT4wYb7Nc", True),
+        ("src/main/java/org/example/service/handler", False), ("user-profile-settings-page-2", False), ("MAX_CONNECTION_TIMEOUT_SECONDS", False),
     ],
 )
 def test_token_efficiency(run, opaque):

@@ -1,4 +1,10 @@
+import math
+import re
+import zlib
+from itertools import combinations
+
 import numpy as np
+import pytest
 
 from quarry.llm import toxicity as t
 
@@ -34,6 +40,43 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in joined)
 
 
+def slow_machine(texts, labels):
+    """Rows of hashed terms in plain Python, then the fit; every labelled text counts."""
+    own = {i: {w for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), texts[i] or ""))} for i in labels}
+    forms = {}
+    for i, y in labels.items():
+        for w in own[i] if y else ():
+            for stem in t.stem_buckets(w.encode(), 24):
+                forms.setdefault(stem, set()).add(zlib.crc32(w.encode()) & 7)
+    rows = []
+    for i in labels:
+        terms = {t.word_bucket(w.encode(), 24) for w in own[i]} | {s for w in own[i] for s in t.stem_buckets(w.encode(), 24) if len(forms.get(s, ())) >= 3}
+        rows.append(np.array(sorted(terms), np.int64))
+    return t.fit(rows, np.array(list(labels.values()), float))
+
+
+def slow_score(text, m):
+    words = {w for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))}
+    terms = {b for w in words for b in (t.word_bucket(w.encode(), 24), *t.stem_buckets(w.encode(), 24))}
+    at = [i for i, b in enumerate(m.buckets.tolist()) if b in terms]
+    y = m.bias + sum(m.weights[i] for i in at) + sum(float(m.factors[i] @ m.factors[j]) for i, j in combinations(at, 2))
+    return 1 / (1 + math.exp(-y))
+
+
+def test_query_against_plain_python(spark, small):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    marks = {r.doc_id: int(r.toxic > 0) for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    teach = [i for i in marks if zlib.crc32(str(i).encode()) % 3 != 1 and i in texts]
+    order = spark.createDataFrame([(i,) for i in teach], "doc_id long").selectExpr("doc_id", "xxhash64(doc_id) h").orderBy("h", "doc_id").collect()
+    m = slow_machine(texts, {r.doc_id: marks[r.doc_id] for r in order})
+    assert len(m.buckets) > 10
+    rows = t.op2_toxicity(spark, small).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.score == pytest.approx(slow_score(texts[r.doc_id], m), abs=1e-6) and r.predicted == (r.score >= 0.7)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+
+
 def test_messy(spark, messy, empty):
     labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (None, 1), (5, None), (99, 1)], "doc_id long, toxic int")
     machine = t.learn(messy, labels)
