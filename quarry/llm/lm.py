@@ -9,7 +9,8 @@ training event is deleted from its own counts, and the mixture has to predict it
 The counts are sorted arrays of 64-bit hashes. A run of blocks of documents adds up its distinct words and word pairs and sends each
 range of hashes its part of them; the range adds up those of all runs and sends each run its totals. So a key that fills a third of
 the text is one number for each run, and what is sent grows with the distinct keys of the runs, not with the tokens. The messages are
-as many as runs times ranges: with 64 MB of text a run and 4 million tokens a range some 30,000 at 10 GB, each of some 20,000 keys.
+as many as runs times ranges, and a range has 2 million tokens: some 5,000 of 100,000 keys at 1 GB of text and 13 million of some 700
+at 50 GB, with 32 MB a run. Beyond that larger runs keep them few, as far as a worker's memory goes.
 
 What is approximate: two words or pairs in 2^64 share a hash; and the weights are learnt from held-out ratios rounded to a sixteenth of
 a binary logarithm (2.2 % at most), of which a table of a bounded size is all that reaches the driver. Scores use the exact counts.
@@ -17,7 +18,7 @@ a binary logarithm (2.2 % at most), of which a table of a bounded size is all th
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -110,10 +111,8 @@ def _schema(ddl: str) -> pa.Schema:
 class Block:
     """A block's tokens, with the sorted distinct keys of its words and pairs."""
 
-    tokens: np.ndarray
-    sizes: np.ndarray
-    train: np.ndarray  # of each token
-    starts: np.ndarray  # whether a token is its document's first
+    tokens: np.ndarray | None
+    train: np.ndarray | None  # of each token
     word_order: np.ndarray  # sorted place to word number
     word_keys: np.ndarray
     pair_keys: np.ndarray
@@ -121,7 +120,7 @@ class Block:
 
     @classmethod
     def read(cls, row: dict) -> Block:
-        tokens, sizes = unplanes(row["tokens"]).astype(np.int64), np.array(row["sizes"], np.int64)
+        tokens, sizes = unplanes(row["tokens"]).astype(np.int32), np.array(row["sizes"], np.int64)
         keys = np.frombuffer(row["keys"], np.uint64)
         starts = np.zeros(len(tokens), bool)
         starts[np.cumsum(sizes) - sizes] = True
@@ -130,7 +129,7 @@ class Block:
         before[starts] = START
         pairs, pair_of = np.unique(pair_keys(before, word), return_inverse=True)
         order = np.argsort(keys)
-        return cls(tokens, sizes, np.repeat(np.array(row["train"], bool), sizes), starts, order, keys[order], pairs, pair_of)
+        return cls(tokens, np.repeat(np.array(row["train"], bool), sizes), order, keys[order], pairs, pair_of.astype(np.int32))
 
     def counts(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Sorted keys and their counts in training documents, of words and of pairs."""
@@ -199,7 +198,7 @@ def joined(found: DataFrame, answers: DataFrame) -> DataFrame:
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = sorted(left.to_pylist(), key=lambda r: r["block"])
         answers = sorted(right.to_pylist(), key=lambda r: (r["order"], r["range"]))
-        read = [Block.read(row) for row in rows]
+        read = [replace(Block.read(row), tokens=None, train=None) for row in rows]
         asked = [np.unique(np.concatenate(keys)) for keys in zip(*((b.word_keys, b.pair_keys) for b in read))]
         words, pairs = (np.concatenate([unplanes(r["totals"]) for r in answers if r["order"] == order]) for order in (1, 2))
         owned = sum(r["owned"] for r in answers if r["order"] == 1)
@@ -302,7 +301,7 @@ def score(rows: DataFrame, weights: np.ndarray, train_tokens: int, train_docs: i
     return rows.mapInArrow(run, SCORED)
 
 
-def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 5 << 20, run_bytes: int = 1 << 26, range_tokens: int = 1 << 22) -> DataFrame:
+def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 5 << 20, run_bytes: int = 1 << 25, range_tokens: int = 1 << 21) -> DataFrame:
     """doc_id, held_out (not ``train``), n_tokens, n_known, train_tokens, base_score, score: one row for each row of ``docs``.
 
     ``train`` is a boolean column: whether a document is learnt from; null is not. Tokens are lower-cased words
