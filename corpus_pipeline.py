@@ -2,15 +2,16 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the next stage's docs.
 All but the last return the columns of ``documents``.
+
+Null, empty and blank texts are kept by the filters as one near copy of each other; rows with a null id stay in all stages and have
+pieces with a null id; repeated rows fare alike in the filters, and near_duplicates keeps one of them; an empty table gives no pieces.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm.base import checkpoint_root, crc_of_id, table
+from quarry.llm.base import crc_of_id, drop_kept, keep, table
 from quarry.llm.copies import drop_near_copies
 from quarry.llm.decontaminate import drop_contaminated
 from quarry.llm.packing import SUMS, pack
@@ -30,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a 10-word window of a benchmark item stay."""
+    """Documents without a 10-word window of a benchmark item stay; each is decided by its own text."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -51,10 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; what lies between them is in the shared checkpoint folder."""
-    folder = f"{checkpoint_root(spark)}/corpus-{uuid.uuid4().hex}"
+    """The stages over ``documents``; what lies between them is in the shared checkpoint folder until the next stage is written, the
+    last stage's input until the driver ends."""
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        docs = keep(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            drop_kept(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
