@@ -5,8 +5,9 @@ fingerprints could be searched with. Here it has 256 bits, and texts share a sha
 of 20 bands: at a similarity of exactly 0.8 that misses one pair in 38,000, above it fewer. Each shard has a BK-tree, searched within
 64 bits (at 0.8 the mean is 39 and the standard deviation 5.7). Candidates are links only if both whole shingle sets say so.
 
-Groups of many copies are joined in rounds, so that not all of their pairs are looked at: first each set meets the nearest one of its
-shards, then the nearest that the links so far do not reach; the last round compares all candidates that are still unconnected.
+Groups of many copies are joined in rounds, so that not all of their pairs are counted in full: first each set meets the nearest one
+of its shards, then, twice, the nearest that the links so far do not reach; the last round takes all candidates still unconnected.
+Pairs whose parity signatures differ in too many bits to reach the similarity are no candidates; that loses none.
 """
 
 from __future__ import annotations
@@ -89,6 +90,16 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount((shingles & np.uint64(places - 1)).astype(np.int64), minlength=places).astype(np.uint8) & 1, bitorder="little")
 
 
+#: Bytes of the short signature that travels with a fingerprint.
+SHORT = 64
+
+
+def short_signature(shingles: np.ndarray) -> bytes:
+    """The signature of 512 places, whatever the set's size."""
+    parity = np.bincount((shingles & np.uint64(8 * SHORT - 1)).astype(np.int64), minlength=8 * SHORT).astype(np.uint8) & 1
+    return np.packbits(parity, bitorder="little").tobytes()
+
+
 def least_apart(a: bytes, b: bytes) -> int:
     """No more shingles than are in just one of the two sets: each bit that differs is one of them at least."""
     x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
@@ -96,18 +107,19 @@ def least_apart(a: bytes, b: bytes) -> int:
 
 
 def shared_shards(points: DataFrame) -> DataFrame:
-    """shard, n (its points), digest, size, fp for each point in each shard that it shares with another one."""
+    """shard, n (its points), digest, size, fp, short for each point in each shard that it shares with another one."""
     keyed = points.select("digest", F.explode("bands").alias("shard"))
     shared = keyed.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1")
-    return keyed.join(shared, "shard").join(points.select("digest", "size", "fp"), "digest").select("shard", "n", "digest", "size", "fp")
+    return keyed.join(shared, "shard").join(points.select("digest", "size", "fp", "short"), "digest").select("shard", "n", "digest", "size", "fp", "short")
 
 
 def candidates(shards: DataFrame, threshold: float, radius: int, part_size: int, nearest: bool) -> DataFrame:
-    """a, b (digests) and distance of points of one shard, but not of one ``root``, within the radius and of sizes that allow the threshold.
+    """a, b (digests) and distance of points of one shard, but not of one ``root``, within the radius, whose sizes and short signatures
+    allow the threshold.
 
     All such pairs, once or more; with ``nearest`` for each point the nearest it finds among those of its part of a shard.
     """
-    columns = ("shard", "digest", "root", "size", "fp")
+    columns = ("shard", "digest", "root", "size", "fp", "short")
     shards = shards.withColumn("parts", F.ceil(F.col("n") / part_size).cast("int"))
     if nearest:
         part = F.pmod(F.xxhash64("digest", F.lit(1)), F.col("parts"))
@@ -117,14 +129,17 @@ def candidates(shards: DataFrame, threshold: float, radius: int, part_size: int,
         tasks = in_parts(shards.join(mixed_roots, "shard"), "digest").select("side", *columns)
 
     def run(batches):
-        for side, shard, digest, root, size, fp in whole_shards(batches, 6, 1):
+        for side, shard, digest, root, size, fp, short in whole_shards(batches, 7, 1):
             points = np.frombuffer(b"".join(fp), "<u8").reshape(len(fp), WORDS)
+            marks = np.frombuffer(b"".join(short), "<u8").reshape(len(short), SHORT // 8)
             if not nearest:
                 side = np.where((side == 2) & of_largest(shard, root), 0, side)
             for q, p in shard_searches(shard, side, points, radius):
                 small, large = np.minimum(size[q], size[p]), np.maximum(size[q], size[p])
                 ok = (root[q] != root[p]) & (small >= threshold * large - 1e-9) & ((side[p] != 2) | (digest[q] < digest[p]) | nearest)
                 q, p = q[ok], p[ok]
+                ok = apart(marks[q], marks[p]) <= (size[q].astype(np.int64) + size[p]) * (1 - threshold) / (1 + threshold) + 1e-6
+                q, p = q[ok], p[ok]
                 distance = apart(points[q], points[p])
                 if nearest:
                     order = np.lexsort((digest[p], distance, q))
@@ -190,7 +205,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(common >= threshold * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
 
 
-def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: float, radius: int, part_size: int) -> DataFrame:
+def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: float, radius: int, part_size: int, rounds: int = 3) -> DataFrame:
     """doc_id, text_hash, digest, component_id for each row of ``docs``."""
 
     def run(_, texts):
@@ -201,13 +216,14 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, threshold:
             "digest": [set_digest(x) for x in sets],
             "size": [len(x) for x in sets],
             "fp": [wide_fingerprint(x) for x in sets],
+            "short": [short_signature(x) for x in sets],
             "signature": [signature(x).tobytes() for x in sets],
             "bands": [band_keys(x) for x in sets],
         }
 
-    schema = "text_hash long, digest long, size int, fp binary, signature binary, bands array<long>"
+    schema = "text_hash long, digest long, size int, fp binary, short binary, signature binary, bands array<long>"
     marked = cut(map_texts(docs, run, schema, id_col, text_col))
-    points = cut(marked.groupBy("digest").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("size", "fp", "signature", "bands")]))
+    points = cut(marked.groupBy("digest").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("size", "fp", "short", "signature", "bands")]))
     shards = cut(shared_shards(points))
 
     def nearest(rooted):
@@ -224,8 +240,8 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, threshold:
     asked = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).unionByName(late).distinct()
     sets = cut(sets_of(asked, points, docs, id_col, text_col, width))
     links = cut(verified(pairs, sets, threshold))
-    pairs = nearest(rooted(links))
-    links = cut(links.unionByName(verified(pairs, sets, threshold)))
+    for _ in range(rounds - 1):
+        links = cut(links.unionByName(verified(nearest(rooted(links)), sets, threshold)))
     pairs = candidates(rooted(links), threshold, radius, part_size, False).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = links.unionByName(verified(cut(screened(pairs, points, threshold)), sets, threshold))
     roots = components(links)

@@ -106,6 +106,8 @@ def test_signatures_rule_out_no_similar_pair():
         other = np.r_[both, draw.integers(0, 1 << 63, m - n).astype(np.uint64)]
         a, b = (c.signature(np.unique(x)).tobytes() for x in (both, other))
         assert c.least_apart(a, a) == 0 and c.least_apart(a, b) == c.least_apart(b, a) <= m - n
+        x, y = (np.frombuffer(c.short_signature(np.unique(v)), np.uint64) for v in (both, other))
+        assert np.bitwise_count(x ^ y).sum() <= m - n
     assert c.least_apart(c.signature(both).tobytes(), c.signature(other + np.uint64(1)).tobytes()) > (n + m) / 9
 
 
