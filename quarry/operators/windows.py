@@ -101,6 +101,45 @@ def neighbour_votes(pages: DataFrame, doc: str, index: str, value: str, reach: i
     return found.join(pages.select(doc, index).distinct(), [doc, index], "left_semi")
 
 
+def number_votes(pages: DataFrame, doc: str, page: str, header: str = "header", footer: str = "footer", body: str = "body", reach: int = 4) -> DataFrame:
+    """doc, page, candidate, votes: the votes for each page's printed number.
+
+    ``header``, ``footer`` and ``body`` are arrays of the numbers that stand there; the first four of each count 4, 3 and 1. A page's
+    candidates (the first four of header and footer, without these of the body) vote for the pages up to ``reach`` places away, 1.5
+    over the distance; where pages at the same distance on both sides differ by as much as their page numbers do, they add 2.5 over it.
+    Numbers under 1 and over 9,999 do not count. Neighbours come from one window a document, so there is no self-join.
+    """
+    order = Window.partitionBy(doc).orderBy(page)
+    own = F.when(F.size(header) + F.size(footer) > 0, F.concat(header, footer)).otherwise(F.slice(body, 1, 4))
+    rows = pages.select(doc, page, header, footer, body, F.slice(F.filter(own, lambda x: (x > 0) & (x < 10000)), 1, 4).alias("_c"))
+    near = {f"_{k}{d}": f("_c" if k in "ba" else page, d).over(order) for d in range(1, reach + 1) for k, f in (("b", F.lag), ("a", F.lead), ("p", F.lag), ("n", F.lead))}
+    rows = rows.select("*", *[column.alias(name) for name, column in near.items()])
+
+    def vote(shift, weight):
+        return lambda x: F.struct((x + shift).alias("candidate"), F.lit(weight).cast("double").alias("w"))
+
+    parts = [F.transform(F.slice(c, 1, 4), vote(0, w)) for c, w in ((header, 4.0), (footer, 3.0), (body, 1.0))]
+    for d in range(1, reach + 1):
+        before, after, gap = F.col(f"_b{d}"), F.col(f"_a{d}"), F.col(f"_n{d}") - F.col(f"_p{d}")
+        agreed = F.filter(F.zip_with(before, after, lambda x, y: F.when(y - x == gap, x)), lambda x: x.isNotNull())
+        parts += [F.transform(before, vote(d, 1.5 / d)), F.transform(after, vote(-d, 1.5 / d)), F.transform(agreed, vote(d, 2.5 / d))]
+    none = F.array().cast("array<struct<candidate:bigint,w:double>>")
+    votes = rows.select(doc, page, F.explode(F.concat(*[F.coalesce(p, none) for p in parts])).alias("v")).where("v.candidate between 1 and 9999")
+    return votes.groupBy(doc, page, F.col("v.candidate").alias("candidate")).agg(F.round(F.sum("v.w"), 9).alias("votes"))
+
+
+def inferred_numbers(votes: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, candidate, votes, confidence: 0.15 + 0.55 of its share + a sixth of its margin (0.3 at most), 1 at most.
+
+    Ties go to the smaller candidate.
+    """
+    order, whole = Window.partitionBy(*keys).orderBy(F.desc("votes"), "candidate"), Window.partitionBy(*keys)
+    ranked = votes.select("*", F.sum("votes").over(whole).alias("total"), F.lead("votes").over(order).alias("second"), F.row_number().over(order).alias("rank")).where("rank = 1")
+    margin = F.col("votes") - F.coalesce("second", F.lit(0.0))
+    confidence = F.least(F.lit(1.0), 0.15 + 0.55 * F.col("votes") / F.col("total") + F.least(F.lit(0.3), margin / 6))
+    return ranked.select(*keys, "candidate", "votes", confidence.alias("confidence"))
+
+
 def best_candidate(votes: DataFrame, keys: list[str]) -> DataFrame:
     """keys, candidate, votes, margin (to the second; its own votes if there is none), ties to the smaller candidate."""
     order = Window.partitionBy(*keys).orderBy(F.desc("votes"), "candidate")
@@ -163,16 +202,24 @@ def line_sessions(words: DataFrame, keys: list[str], top: str, left: str, tolera
 
 
 def version_diffs(versions: DataFrame, keys: list[str], order: list[str], text: str) -> DataFrame:
-    """keys, order, insertions, deletions of lines against the version before; equal versions have no row.
+    """keys, order, insertions, deletions, unified: the line diff against the version before; equal versions have no row.
 
-    Lines are compared as multisets, so a moved line counts as neither.
+    A moved line counts as deleted and inserted. The pairs come from one window a document; the diff itself is no SQL.
     """
+    import difflib
+
     per = Window.partitionBy(*keys).orderBy(*order)
     pairs = versions.select(*keys, *order, F.col(text).alias("_now"), F.lag(text).over(per).alias("_was")).where("_was is not null and _was <> _now")
-    marked = lambda c: F.transform(F.array_sort(F.split(c, "\n")), lambda x: x)
-    numbered = lambda a: F.transform(a, lambda x, i: F.concat_ws("\x00", x, (i - F.array_position(a, x) + 1).cast("string")))
-    pairs = pairs.withColumn("_a", marked(F.col("_was"))).withColumn("_b", marked(F.col("_now"))).withColumn("_a", numbered(F.col("_a"))).withColumn("_b", numbered(F.col("_b")))
-    return pairs.select(*keys, *order, F.size(F.array_except("_b", "_a")).alias("insertions"), F.size(F.array_except("_a", "_b")).alias("deletions"))
+
+    @F.pandas_udf("insertions int, deletions int, unified string")
+    def diff(was: pd.Series, now: pd.Series) -> pd.DataFrame:
+        out = []
+        for a, b in zip(was, now):
+            lines = list(difflib.unified_diff(a.splitlines(keepends=True), b.splitlines(keepends=True), "before", "after"))
+            out.append((sum(x.startswith("+") for x in lines[2:]), sum(x.startswith("-") for x in lines[2:]), "".join(lines)))
+        return pd.DataFrame(out, columns=["insertions", "deletions", "unified"])
+
+    return pairs.select(*keys, *order, diff("_was", "_now").alias("d")).select(*keys, *order, "d.*")
 
 
 def next_trusted(starts: DataFrame, doc: str, page: str, confidence: str, least: float = 0.70) -> DataFrame:

@@ -31,9 +31,9 @@ def r02_bm25_top(t):
     return ops.top(scored(t).withColumn("score", F.round("score", 6)).select("doc", "score"), 20, "doc")
 
 
-@query(f"with {POSTINGS}, a as (select * from sc where n_terms = 4) select doc, round(score, 6) as score from a")
+@query(f"""with {POSTINGS.replace("('the', 'idiot', 'thing', 'license')", "('license', 'mit', 'under')")} select doc, round(score, 6) as score from sc where n_terms = 3""")
 def r03_and_search(t):
-    return scored(t, every=True).select("doc", F.round("score", 6).alias("score"))
+    return scored(t, every=True, words=("license", "mit", "under")).select("doc", F.round("score", 6).alias("score"))
 
 
 LISTS = """l as (select 'price' as list, o_custkey as k, row_number() over (order by max(o_totalprice) desc, o_custkey) as rank from orders group by o_custkey union all

@@ -123,16 +123,20 @@ def f16_scope(t):
     return t.orders.where((F.col("o_orderstatus") == "F") != (F.col("o_orderkey") % 2 == 0)).select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "promoted").otherwise("shadow").alias("scope"))
 
 
-@query("""select doc_id, length(regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '[ \\t]+', ' ', 'g')) as n_visible, trim(regexp_replace(regexp_replace(text, '[ \\t]+', ' ', 'g'), ' +([,.;:!?])', '\\1', 'g'), ' ') as compact from documents""")
+#: The SQL of ``fn.visible`` over composed text, and of ``fn.join_hyphenation``.
+VISIBLE = r"regexp_replace(regexp_replace(nfc_normalize({}), '\r\n?', chr(10), 'g'), '[\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{205F}}\x{{3000}}\t]', ' ', 'g')"
+JOINED = r"regexp_replace({}, '([\p{{L}}\p{{N}}])[-‐][ \t]*\n[ \t]*([\p{{L}}\p{{N}}])', '\1\2', 'g')"
+
+
+@query(f"""select doc_id, v as visible, trim(regexp_replace(regexp_replace(v, '[ \\t]+', ' ', 'g'), ' +([,.;:!?])', '\\1', 'g'), ' ') as compact from (select doc_id, {VISIBLE.format('text')} as v from documents)""")
 def x01_clean_text(t):
-    lines = F.regexp_replace(F.regexp_replace("text", "\r\n?", "\n"), "[ \t]+", " ")
-    return t.documents.select("doc_id", F.length(lines).cast("long").alias("n_visible"), fn.compact(F.col("text")).alias("compact"))
+    visible = fn.visible(fn.nfc(F.col("text")))
+    return t.documents.select("doc_id", visible.alias("visible"), fn.compact(visible).alias("compact"))
 
 
-@query("select page_id, len(regexp_extract_all(lower(regexp_replace(html, '<[^>]*>', ' ', 'g')), '[a-z]{3,}')) as n_words from pages")
+@query(f"""select page_id, trim(regexp_replace(regexp_replace(j, ' +', ' ', 'g'), ' ?\\n ?', chr(10), 'g'), ' ') as text from (select page_id, {JOINED.format("regexp_replace(" + VISIBLE.format('html') + ", '<[^>]*>', ' ', 'g')")} as j from pages)""")
 def x03_clean_pages(t):
-    plain = F.lower(F.regexp_replace("html", "<[^>]*>", " "))
-    return t.pages.select("page_id", F.size(F.regexp_extract_all(plain, F.lit("[a-z]{3,}"), F.lit(0))).cast("long").alias("n_words"))
+    return t.pages.select("page_id", fn.clean_markup(fn.nfc(F.col("html"))).alias("text"))
 
 
 @query()
@@ -142,10 +146,9 @@ def x04_clean_ocr_text(t):
     return t.documents.select("doc_id", cleaned.alias("text"))
 
 
-@query("""select doc_id, list_transform(regexp_extract_all(text, '[a-zA-ZÀ-öø-ÿ]{3,}'), lambda w: lower(w)) as words from documents where not regexp_matches(text, '[\\p{L}\\p{N}][-‐][ \\t]*\\n') and not contains(text, '<')""")
+@query(f"""select doc_id, list_transform(regexp_extract_all(regexp_replace({JOINED.format('text')}, '<[^>]*>', ' ', 'g'), '[a-zA-ZÀ-öø-ÿ]{{3,}}'), lambda w: lower(w)) as words from documents""")
 def x08_words(t):
-    docs = t.documents.where(~F.col("text").rlike(r"[\p{L}\p{N}][-‐][ \t]*\n") & ~F.contains("text", F.lit("<")))
-    return docs.select("doc_id", fn.words(F.col("text")).alias("words"))
+    return t.documents.select("doc_id", fn.words(F.col("text")).alias("words"))
 
 
 @query()
@@ -167,10 +170,14 @@ def x16_shingle_counts(t):
 
 
 
-@query("""select p_partkey, p_size as value, p_size::int as back, (p_size::int) as strict, repeat('X', (case when p_size >= 50 then 0 when p_size >= 40 then 0 else p_size // 10 end)::int) as tens from part where p_size between 1 and 39""")
+@query("""with v as (select p_partkey, (p_partkey * 19) % 3999 + 1 as value from part)
+select p_partkey, value, value as back, case when value < 2000 then value end as strict,
+['', 'M', 'MM', 'MMM'][value // 1000 + 1] || ['', 'C', 'CC', 'CCC', 'CD', 'D', 'DC', 'DCC', 'DCCC', 'CM'][value // 100 % 10 + 1]
+|| ['', 'X', 'XX', 'XXX', 'XL', 'L', 'LX', 'LXX', 'LXXX', 'XC'][value // 10 % 10 + 1] || ['', 'I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX'][value % 10 + 1] as roman from v""")
 def x17_roman_round_trip(t):
-    roman = fn.to_roman(F.col("p_size"))
-    return t.part.where(F.col("p_size").between(1, 39)).select("p_partkey", F.col("p_size").alias("value"), fn.roman_value(roman).alias("back"), fn.roman_strict(roman).alias("strict"), F.regexp_extract(roman, "^X*", 0).alias("tens"))
+    rows = t.part.select("p_partkey", ((F.col("p_partkey") * 19) % 3999 + 1).alias("value"))
+    roman = fn.to_roman(F.col("value"))
+    return rows.select("p_partkey", "value", fn.roman_value(roman).alias("back"), fn.roman_strict(roman).alias("strict"), roman.alias("roman"))
 
 
 @query()
@@ -312,12 +319,13 @@ def m14_encodings(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", numbers.zigzag((F.col("l_suppkey") - F.col("l_quantity")).cast("int")).alias("zigzag"), numbers.varuint(F.col("l_partkey")).alias("varuint"))
 
 
-@query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, epoch(o_orderdate)::bigint as seconds from orders")
+@query("""select o_orderkey, strftime(p, '%Y-%m-%d') as day, epoch(p)::bigint as seconds from (select o_orderkey, case o_orderkey % 3 when 0 then date_trunc('day', o_orderdate) when 1 then o_orderdate else o_orderdate - interval 2 hour end as p from orders)""")
 def m16_parsed_times(t):
-    parsed = numbers.to_utc(F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))))
-    truth = t.orders.withColumn("p", parsed)
-    whole = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderdate")).otherwise(F.col("p"))
-    return truth.select("o_orderkey", F.date_format("p", "yyyy-MM-dd").alias("day"), whole.cast("long").alias("seconds"))
+    """A date, a time with Z and one with an offset, each through the parser."""
+    form, time = F.col("o_orderkey") % 3, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    text = F.when(form == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(form == 1, F.concat(time, F.lit("Z"))).otherwise(F.concat(time, F.lit("+02:00")))
+    parsed = t.orders.select("o_orderkey", numbers.to_utc(text).alias("p"))
+    return parsed.select("o_orderkey", F.date_format("p", "yyyy-MM-dd").alias("day"), F.col("p").cast("long").alias("seconds"))
 
 
 @query("select event_id, cast(props->>'$.k' as int) as k, case when cast(props->>'$.k' as int) > 50 then 'high' else 'low' end as level from events")

@@ -6,11 +6,6 @@ from ..operators import windows as ops
 from .registry import query
 
 
-@query("""select user_id, min(event_id) as break_page from (select *, max(ts) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding) as high from events) where ts < high group by 1""")
-def w01_time_breaks(t):
-    return ops.time_breaks(t.events, "user_id", "event_id", "ts")
-
-
 @query("""with s as (select o_custkey, min(o_orderkey) as break_page from (select *, max(o_orderdate) over (partition by o_custkey order by o_orderkey rows between unbounded preceding and 1 preceding) as high from orders) where o_orderdate < high group by 1) select * from s""")
 def w01_order_breaks(t):
     return ops.time_breaks(t.orders, "o_custkey", "o_orderkey", "o_orderdate")
@@ -111,21 +106,37 @@ def w11_validated_numbers(t):
     return ops.validated(printed(t), "source", "doc_id", "v", 64)
 
 
-@query(f"""with {PRINTED}, s as (select source, doc_id + d as doc_id, v + 2 * d as candidate, 1.5::double / abs(d) as w from p, (select unnest(range(-64, 65)) as d) where v is not null and d <> 0),
-g as (select source, doc_id, candidate, round(sum(w), 9) as votes from s group by all), k as (select * from g semi join p using (source, doc_id)),
-r as (select *, lead(votes) over w as second, row_number() over w as rk from k window w as (partition by source, doc_id order by votes desc, candidate))
-select source, doc_id, candidate, round(votes, 6) as votes, round(votes - coalesce(second, 0), 6) as margin from r where rk = 1""")
+#: Documents as pages with the numbers of their first line, their last line and their whole text; ``v``: all votes; ``g``: by candidate.
+VOTES = """p as (select source, doc_id, row_number() over (partition by source order by doc_id) - 1 as i, count(*) over (partition by source) as n,
+  list_transform(regexp_extract_all(string_split(text, chr(10))[1], '[0-9]+'), lambda x: x[1:9]::bigint) as header,
+  list_transform(regexp_extract_all(string_split(text, chr(10))[-1], '[0-9]+'), lambda x: x[1:9]::bigint) as footer,
+  list_transform(regexp_extract_all(text, '[0-9]+'), lambda x: x[1:9]::bigint) as body from documents where text is not null),
+c as (select *, list_filter(case when len(header) + len(footer) > 0 then header || footer else body[1:4] end, lambda x: x > 0 and x < 10000)[1:4] as cand from p),
+k as (select source, i, doc_id, cand[j] as x, j from (select *, unnest(range(1, len(cand) + 1)) as j from c)),
+v as (select source, i, unnest(header[1:4]) as candidate, 4.0::double as w from c union all select source, i, unnest(footer[1:4]), 3.0 from c union all select source, i, unnest(body[1:4]), 1.0 from c
+  union all select source, i + d, x + d, 1.5::double / abs(d) from k, (select unnest([-4, -3, -2, -1, 1, 2, 3, 4]) as d)
+  union all select a.source, a.i + d, a.x + d, 2.5::double / d from k a, (select unnest([1, 2, 3, 4]) as d), k b where a.source = b.source and b.i = a.i + 2 * d and a.j = b.j and b.doc_id - a.doc_id = b.x - a.x),
+g as (select c.source, c.doc_id, candidate, round(sum(w), 9) as votes from v join c using (source, i) where candidate > 0 and candidate < 10000 group by all)"""
+
+
+def numbered(t):
+    """Documents as pages with the numbers of their first line, their last line and their whole text."""
+    found = lambda text: F.transform(F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0)), lambda x: F.substring(x, 1, 9).cast("long"))
+    lines = F.split("text", "\n")
+    return t.documents.where("text is not null").select("source", "doc_id", found(lines[0]).alias("header"), found(F.element_at(lines, -1)).alias("footer"), found(F.col("text")).alias("body"))
+
+
+@query(f"""with {VOTES}, r as (select *, sum(votes) over (partition by source, doc_id) as total, lead(votes) over w as second, row_number() over w as rk from g window w as (partition by source, doc_id order by votes desc, candidate))
+select source, doc_id, candidate, round(votes, 6) as votes, round(least(1.0::double, 0.15 + 0.55 * votes / total + least(0.3::double, (votes - coalesce(second, 0)) / 6)), 6) as confidence from r where rk = 1""")
 def w12_inferred_numbers(t):
-    votes = ops.neighbour_votes(printed(t), "source", "doc_id", "v", 64, 2).withColumn("votes", F.round("votes", 9))
-    found = ops.best_candidate(votes, ["source", "doc_id"])
-    return found.withColumn("votes", F.round("votes", 6)).withColumn("margin", F.round("margin", 6))
+    votes = ops.number_votes(numbered(t), "source", "doc_id")
+    found = ops.inferred_numbers(votes, ["source", "doc_id"])
+    return found.withColumn("votes", F.round("votes", 6)).withColumn("confidence", F.round("confidence", 6))
 
 
-@query("""with n as (select source, doc_id, list_slice(regexp_extract_all(text, '[0-9]+'), 1, 4) as ns from documents where regexp_matches(text, '[0-9]'))
-select source, doc_id, (i - 1)::int as place, ns[i] as number, round(4.0::double / i, 6) as weight from (select source, doc_id, ns, unnest(range(1, len(ns) + 1)) as i from n)""")
+@query(f"with {VOTES} select source, doc_id, candidate, round(votes, 6) as votes from g")
 def w13_number_votes(t):
-    numbers = F.slice(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0)), 1, 4)
-    return t.documents.select("source", "doc_id", F.posexplode(numbers).alias("place", "number")).withColumn("weight", F.round(4.0 / (F.col("place") + 1), 6))
+    return ops.number_votes(numbered(t), "source", "doc_id").withColumn("votes", F.round("votes", 6))
 
 
 @query("""with g as (select l_orderkey, l_extendedprice + l_quantity as e, lead(l_extendedprice) over (partition by l_orderkey order by l_extendedprice, l_quantity) - (l_extendedprice + l_quantity) as gap from lineitem),

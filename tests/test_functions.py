@@ -122,11 +122,35 @@ def test_locate():
 
 
 def test_alignment():
-    assert chunks.compared("in principio erat", "in principio erat") == {"n_same": 3, "n_changed": 0, "n_omitted": 0, "n_added": 0, "coverage": 1.0}
+    assert chunks.compared("in principio erat", "in principio erat") == {"n_same": 3, "n_changed": 0, "n_omitted": 0, "n_added": 0, "n_unresolved": 0, "coverage": 1.0}
     assert chunks.compared("in prin cipio erat", "in principio erat")["n_changed"] == 1
     assert chunks.compared("", "a b")["n_omitted"] == 2 and chunks.compared("a", "")["coverage"] == 1.0
 
 
+def test_alignment_covers_both_lists():
+    """Every word of both is in one link, whatever the anchors; gaps beyond the bound are unresolved and not counted as covered."""
+    import random
+
+    draw = random.Random(3)
+    for _ in range(60):
+        a = [draw.choice("abcdefgh") * draw.randrange(1, 4) for _ in range(draw.randrange(0, 60))]
+        b = [w for w in a if draw.random() > 0.1] + [draw.choice("xyz")] * draw.randrange(3)
+        links = chunks.align(a, b)
+        assert [n for i, j, *_ in links for n in range(i, j)] == list(range(len(a)))
+        assert [n for _, _, k, m, _ in links for n in range(k, m)] == list(range(len(b)))
+        assert all(a[i:j] == b[k:m] for i, j, k, m, c in links if c == 0.0)
+    apart = chunks.compared(" ".join(f"a{i}" for i in range(600)), " ".join(f"b{i}" for i in range(500)))
+    assert apart["n_unresolved"] == 500 and apart["coverage"] == 0.0
+
+
+def test_line_diffs(spark):
+    rows = spark.createDataFrame([("d", 1, "one\ntwo\nthree"), ("d", 2, "two\none\nthree"), ("d", 3, "two\none\nthree"), ("d", 4, "two\nthree")], "k string, v int, t string")
+    from quarry.operators.windows import version_diffs
+
+    found = {r.v: (r.insertions, r.deletions) for r in version_diffs(rows, ["k"], ["v"], "t").collect()}
+    assert found == {2: (1, 1), 4: (0, 1)}
+
+
 def test_excerpts_and_columns():
     text = "x " * 200 + "divine grace works " + "y " * 200
     assert "divine grace" in chunks.densest(text, "Grace divine", 60)
