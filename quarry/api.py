@@ -45,9 +45,12 @@ class Corpus:
         found = search.bm25(index, words, *search.mean_length(pages, F.col("text")), every=every)
         return search.top(found.select("doc", F.round("score", 6).alias("score")), limit, "doc")
 
-    def search_scripture(self, query: str) -> DataFrame:
-        """volume, page, references: pages that cite what a boolean query of references (``gen 1 && rom 8``) asks for."""
-        pages = self.table("documents").select(F.col("source").alias("volume"), F.col("doc_id").alias("page"), F.explode(find_citations(F.col("text"))).alias("c"))
+    def search_scripture(self, query: str, documents: DataFrame | None = None) -> DataFrame:
+        """volume, page, references: pages that cite what a boolean query of references (``gen 1 && rom 8``) asks for.
+
+        ``documents`` stands for the folder's table of that name.
+        """
+        pages = (self.table("documents") if documents is None else documents).select(F.col("source").alias("volume"), F.col("doc_id").alias("page"), F.explode(find_citations(F.col("text"))).alias("c"))
         postings = pages.select(F.concat_ws(" ", "c.book", "c.chapter").alias("reference"), "volume", "page", F.lit(4).cast("long").alias("mask"))
         return search.evaluate_boolean(search.parse_boolean(query), postings, ["volume", "page"]).drop("mask")
 
