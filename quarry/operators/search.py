@@ -410,8 +410,8 @@ def _most_similar(shared, k, apart, other_group, last_first):
 def hybrid(items: DataFrame, docs: DataFrame, k: int = 5, lexical: float = 0.6, block: int = 512) -> DataFrame:
     """item_id, doc_id, score, confirmed: of each item the k best of all documents, by the shared part of its words and the cosine.
 
-    ``items``: item_id, words (distinct, one at least), v; ``docs``: doc_id, words (distinct), v. Items are sent in blocks, and each task
-    sends its own best.
+    ``items``: item_id, words (distinct, one at least), v; ``docs``: doc_id, words (distinct), v. Where a vector is null the cosine is 0.
+    Items are sent in blocks, and each task sends its own best.
     """
     blocks = max(1, -(-items.count() // block))
     out = None
@@ -433,7 +433,8 @@ def _hybrid(shared, k, lexical):
         for i, (_, words, _) in enumerate(items):
             for w in words:
                 having.setdefault(w, []).append(i)
-        q = _unit([v for _, _, v in items]) if items else None
+        with_v = [i for i, (_, _, v) in enumerate(items) if v is not None]
+        q = _unit([items[i][2] for i in with_v]) if with_v else None
         size = np.array([len(words) for _, words, _ in items], float)[:, None]
         for batch in batches:
             if not len(batch) or not items:
@@ -444,7 +445,10 @@ def _hybrid(shared, k, lexical):
                     if w in having:
                         hits[having[w], j] += 1
             part = hits / size
-            whole = lexical * part + (1 - lexical) * (q @ _unit(batch["v"]).T)
+            whole = lexical * part
+            known = np.flatnonzero(batch["v"].notna())
+            if with_v and len(known):
+                whole[np.ix_(with_v, known)] += (1 - lexical) * (q @ _unit(batch["v"].iloc[known]).T)
             score, ids = np.round(whole, 5), batch["doc_id"].to_numpy()
             for i, (key, _, _) in enumerate(items):
                 at = np.lexsort((ids, -score[i]))[:k]

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import cosine, softmax
+from ..functions.numbers import softmax
 from ..operators import search as ops
 from .registry import query
 
@@ -114,28 +114,16 @@ def r12_best_unit(t):
     return ops.best_unit(t.lineitem, "l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-@query("""with b as (select item_id, list_distinct(regexp_extract_all(lower(string_split(text, chr(10))[1]), '[a-z]+')) as qs from benchmark), w as (select doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z]+')) as ws from documents),
-s as (select item_id, doc_id, len(list_intersect(qs, ws)) / len(qs)::double as lexical from b join w on doc_id % 40 = item_id where len(qs) > 0), e as (select s.*, case when list_cosine_similarity(x.embedding::double[], y.embedding::double[]) is null then 0 else list_cosine_similarity(x.embedding::double[], y.embedding::double[]) end as sem from s join embeddings x on x.vec_id = item_id join embeddings y on y.vec_id = doc_id)
+@query("""with b as (select item_id, list_distinct(regexp_extract_all(lower(text), '[a-z]+')) as qs from benchmark), w as (select doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z]+')) as ws from documents where text is not null),
+s as (select item_id, doc_id, len(list_intersect(qs, ws)) / len(qs)::double as lexical from b, w where len(qs) > 0), v as (select vec_id, embedding::double[] as v from embeddings),
+e as (select s.*, coalesce(list_cosine_similarity(x.v, y.v), 0) as sem from s left join v x on x.vec_id = item_id left join v y on y.vec_id = doc_id)
 select item_id, doc_id, round(0.6 * lexical + 0.4 * sem, 5) as score, (0.6 * lexical + 0.4 * sem >= 0.75 or lexical >= 0.8) as confirmed from e qualify row_number() over (partition by item_id order by round(0.6 * lexical + 0.4 * sem, 5) desc, doc_id) <= 5""")
 def r13_hybrid_score(t):
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0)))
-    b = t.benchmark.select("item_id", words(F.split("text", "\n")[0]).alias("qs")).where("size(qs) > 0")
-    w = t.documents.select("doc_id", (F.col("doc_id") % 40).alias("item_id"), words("text").alias("ws"))
-    vector = lambda n, v: t.embeddings.select(F.col("vec_id").alias(n), F.col("embedding").alias(v))
-    pairs = w.join(b, "item_id").join(vector("item_id", "x"), "item_id").join(vector("doc_id", "y"), "doc_id")
-    lexical = F.size(F.array_intersect("qs", "ws")) / F.size("qs")
-    rows = pairs.select("item_id", "doc_id", lexical.alias("l"), (0.6 * lexical + 0.4 * cosine(F.col("x"), F.col("y"))).alias("s"))
-    rows = rows.select("item_id", "doc_id", F.round("s", 5).alias("score"), ((F.col("s") >= 0.75) | (F.col("l") >= 0.8)).alias("confirmed"))
-    return rows.withColumn("_r", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id"))).where("_r <= 5").drop("_r")
-
-
-@query()
-def r13_hybrid_all(t):
-    """Each benchmark item scored against all documents; ``r13_hybrid_score`` and its SQL look at one document in forty."""
+    """Each whole benchmark item scored against all whole documents; what has no vector has the cosine 0."""
     words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0))).alias("words")
-    vector = lambda n: t.embeddings.select(F.col("vec_id").alias(n), F.col("embedding").cast("array<double>").alias("v")).where("v is not null")
-    items = t.benchmark.select("item_id", words(F.split("text", "\n")[0])).where("size(words) > 0").join(vector("item_id"), "item_id")
-    return ops.hybrid(items, t.documents.where("text is not null").select("doc_id", words("text")).join(vector("doc_id"), "doc_id"))
+    vector = lambda n: t.embeddings.select(F.col("vec_id").alias(n), F.col("embedding").cast("array<double>").alias("v"))
+    items = t.benchmark.select("item_id", words("text")).where("size(words) > 0").join(vector("item_id"), "item_id", "left")
+    return ops.hybrid(items, t.documents.where("text is not null").select("doc_id", words("text")).join(vector("doc_id"), "doc_id", "left"))
 
 
 @query("""with w as (select doc_id as doc, regexp_extract_all(lower(text), '[a-z]+') as w from documents) select doc, n from (select doc, len(list_filter(range(1, len(w) + 1), lambda i: w[i] = 'of' and w[i + 1] = 'the')) as n from w) where n > 0""")
@@ -191,29 +179,18 @@ def r17_cross_group_retrieval(t):
     return ranks.agg(F.count("*").alias("n"), F.round(F.avg((F.coalesce("r", F.lit(99)) == 1).cast("int")), 6).alias("recall_1"), F.round(F.avg(F.coalesce(1.0 / F.col("r"), F.lit(0.0))), 6).alias("mrr"))
 
 
-@query("""with q as (select embedding::double[] as e from embeddings where vec_id = 7) select vec_id, round(list_cosine_similarity(embedding::double[], e), 5) as score from embeddings, q order by round(list_cosine_similarity(embedding::double[], e), 5) desc, vec_id limit 10""")
-def t01_cosine_top(t):
-    anchor = t.embeddings.where("vec_id = 7").select(F.col("embedding").cast("array<double>").alias("e"))
-    scores = t.embeddings.join(F.broadcast(anchor.limit(1))).select("vec_id", F.round(cosine(F.col("embedding"), F.col("e")), 5).alias("score"))
-    return ops.top(scores, 10, "vec_id")
-
+HUNDREDTHS = "with v as (select vec_id, label, embedding::double[] as e from embeddings where embedding is not null), p as (select q.vec_id as id, v.vec_id as neighbour, round(list_cosine_similarity(v.e, q.e), 5) as score from v q, v where q.vec_id % 100 = 0"
 
-@query("""with q as (select embedding::double[] as e, label as l from embeddings where vec_id = 7) select vec_id, round(list_cosine_similarity(embedding::double[], e), 5) as score from embeddings, q where vec_id <> 7 and abs(vec_id - 7) > 5 and label <> l order by 2 desc, vec_id desc limit 10""")
-def t02_page_neighbours(t):
-    anchor = t.embeddings.where("vec_id = 7").select(F.col("embedding").alias("e"), F.col("label").alias("l")).limit(1)
-    rows = t.embeddings.join(F.broadcast(anchor)).where((F.col("vec_id") != 7) & (F.abs(F.col("vec_id") - 7) > 5) & (F.col("label") != F.col("l")))
-    return rows.select("vec_id", F.round(cosine(F.col("embedding"), F.col("e")), 5).alias("score")).orderBy(F.desc("score"), F.desc("vec_id")).limit(10)
 
-
-@query()
-def t01_cosine_top_all(t):
-    """Of every id divisible by 100 the ten most similar rows of all; ``t01_cosine_top`` and its SQL ask for id 7 alone."""
+@query(f"{HUNDREDTHS}) select *, row_number() over (partition by id order by score desc, neighbour)::int as rank from p qualify rank <= 10")
+def t01_cosine_top(t):
+    """Of every id divisible by 100 the ten most similar rows of all."""
     return ops.most_similar(t.embeddings, t.embeddings.where("vec_id % 100 = 0"), "vec_id", "embedding", "label", 10)
 
 
-@query()
-def t02_page_neighbours_all(t):
-    """Of every id divisible by 100 the ten most similar rows of another label more than five ids away; ``t02_page_neighbours`` asks for id 7."""
+@query(f"{HUNDREDTHS} and abs(v.vec_id - q.vec_id) > 5 and v.label <> q.label) select *, row_number() over (partition by id order by score desc, neighbour desc)::int as rank from p qualify rank <= 10")
+def t02_page_neighbours(t):
+    """Of every id divisible by 100 the ten most similar rows of another label more than five ids away."""
     return ops.most_similar(t.embeddings, t.embeddings.where("vec_id % 100 = 0"), "vec_id", "embedding", "label", 10, 5, True, True)
 
 
