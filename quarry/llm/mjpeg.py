@@ -8,6 +8,7 @@ RIFF with the lists ``hdrl`` and ``movi`` and the index ``idx1``.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -111,60 +112,117 @@ def _chunk(name: bytes, body: bytes) -> bytes:
 
 def avi(frames: list[bytes], width: int = COLUMNS * 8, height: int = ROWS * 8, rate: int = RATE) -> bytes:
     """An AVI file of JPEG frames."""
-    largest = max(map(len, frames), default=0)
-    main = struct.pack("<14I", 1_000_000 // rate, largest * rate, 0, 0x10, len(frames), 0, 1, largest, width, height, 0, 0, 0, 0)
-    stream = struct.pack("<4s4sIHHIIIIIIII4H", b"vids", b"MJPG", 0, 0, 0, 0, 1, rate, 0, len(frames), largest, 0xFFFFFFFF, 0, 0, 0, width, height)
-    picture = struct.pack("<IiiHH4sIiiII", 40, width, height, 1, 24, b"MJPG", width * height * 3, 0, 0, 0, 0)
-    header = _chunk(b"LIST", b"hdrl" + _chunk(b"avih", main) + _chunk(b"LIST", b"strl" + _chunk(b"strh", stream) + _chunk(b"strf", picture)))
-    sizes = np.array([len(f) for f in frames], np.int64)
-    index = np.zeros((len(frames), 4), "<u4")
+    return bytes(avi_of([frames], width, height, rate))
+
+
+def avi_of(parts: Iterable[list[bytes]], width: int = COLUMNS * 8, height: int = ROWS * 8, rate: int = RATE) -> bytearray:
+    """An AVI file of JPEG frames that come in parts, of which one is held beside the file. A file has less than 4 GiB."""
+    out = bytearray(_front(0, 0, 0, 0, width, height, rate))
+    front, own = len(out), []
+    for frames in parts:
+        own.append(np.fromiter(map(len, frames), np.int64, len(frames)))
+        for frame in frames:
+            out += _chunk(b"00dc", frame)
+    sizes = np.concatenate(own) if own else np.empty(0, np.int64)
+    movie = len(out) - front + 4
+    index = np.zeros((len(sizes), 4), "<u4")
     index[:, 0] = int.from_bytes(b"00dc", "little")
     index[:, 1] = 0x10  # a key frame
     index[:, 2] = 4 + np.cumsum(sizes + (sizes & 1) + 8) - (sizes + (sizes & 1) + 8)
     index[:, 3] = sizes
-    movie = _chunk(b"LIST", b"movi" + b"".join(_chunk(b"00dc", f) for f in frames))
-    body = b"AVI " + header + movie + _chunk(b"idx1", index.tobytes())
-    return b"RIFF" + struct.pack("<I", len(body)) + body
+    out += _chunk(b"idx1", index.tobytes())
+    out[:front] = _front(len(sizes), int(sizes.max(initial=0)), movie, len(out) - 8, width, height, rate)
+    return out
+
+
+def _front(n: int, largest: int, movie: int, whole: int, width: int, height: int, rate: int) -> bytes:
+    """The file up to its first frame: ``n`` frames, ``movie`` bytes in the list of frames, ``whole`` in the file."""
+    main = struct.pack("<14I", 1_000_000 // rate, largest * rate, 0, 0x10, n, 0, 1, largest, width, height, 0, 0, 0, 0)
+    stream = struct.pack("<4s4sIHHIIIIIIII4H", b"vids", b"MJPG", 0, 0, 0, 0, 1, rate, 0, n, largest, 0xFFFFFFFF, 0, 0, 0, width, height)
+    picture = struct.pack("<IiiHH4sIiiII", 40, width, height, 1, 24, b"MJPG", width * height * 3, 0, 0, 0, 0)
+    header = _chunk(b"LIST", b"hdrl" + _chunk(b"avih", main) + _chunk(b"LIST", b"strl" + _chunk(b"strh", stream) + _chunk(b"strf", picture)))
+    return b"RIFF" + struct.pack("<I", whole) + b"AVI " + header + b"LIST" + struct.pack("<I", movie) + b"movi"
 
 
 @dataclass
 class Movie:
+    """A file's frames per second, and where in its bytes its frames are."""
+
     rate: float
-    frames: list[bytes]
+    data: bytes | bytearray
+    places: np.ndarray  # start and size of each frame
+
+    @property
+    def frames(self) -> list[bytes]:
+        return [frame for part in self.parts(len(self.places) or 1) for frame in part]
+
+    def parts(self, most: int) -> Iterator[list[bytes]]:
+        """The frames in lists of up to ``most``."""
+        for i in range(0, len(self.places), most):
+            yield [bytes(self.data[at : at + size]) for at, size in self.places[i : i + most].tolist()]
 
 
 def _chunks(data: bytes, start: int, end: int):
     while start + 8 <= end:
         size = int.from_bytes(data[start + 4 : start + 8], "little")
-        yield data[start : start + 4], start + 8, min(size, end - start - 8)
+        yield bytes(data[start : start + 4]), start + 8, min(size, end - start - 8)
         start += 8 + size + (size & 1)
 
 
+def _header(data: bytes, start: int, end: int) -> tuple[float, int]:
+    """Frames per second, and the number of the first video stream."""
+    rate, video, streams = float(RATE), None, 0
+    for name, at, size in _chunks(data, start, end):
+        if name == b"avih" and size >= 4 and (each := int.from_bytes(data[at : at + 4], "little")):
+            rate = 1e6 / each
+        elif name == b"LIST" and data[at : at + 4] == b"strl":
+            kinds = [data[a : a + 4] for inner, a, _ in _chunks(data, at + 4, at + size) if inner == b"strh"]
+            if video is None and b"vids" in kinds:
+                video = streams
+            streams += 1
+    return rate, video or 0
+
+
+def _in_movie(data: bytes, start: int, end: int, names: tuple[bytes, ...]) -> Iterator[tuple[int, int]]:
+    """Start and size of the named chunks of a list of frames, those in its groups included."""
+    for name, at, size in _chunks(data, start, end):
+        if name in names:
+            yield at, size
+        elif name == b"LIST" and data[at : at + 4] == b"rec ":
+            yield from _in_movie(data, at + 4, at + size, names)
+
+
 def parse_avi(data: bytes) -> Movie:
-    """The frames of the first video stream, by ``idx1``, or by the chunks of ``movi`` where there is no index.
+    """The frames of the first video stream, by ``idx1``, or by the chunks of ``movi`` where there is no index. Those of further
+    ``AVIX`` segments, which ``idx1`` does not list, follow.
 
     Raises ValueError if the bytes are no AVI file.
     """
     if len(data) < 12 or data[:4] != b"RIFF" or data[8:12] != b"AVI ":
         raise ValueError("not an AVI file")
-    rate, movi, index = float(RATE), None, None
+    rate, video, movi, index, further = float(RATE), 0, None, None, []
     for name, at, size in _chunks(data, 12, len(data)):
-        if name == b"LIST" and data[at : at + 4] == b"hdrl":
-            for inner, a, n in _chunks(data, at + 4, at + size):
-                if inner == b"avih" and n >= 4 and (each := int.from_bytes(data[a : a + 4], "little")):
-                    rate = 1e6 / each
-        elif name == b"LIST" and data[at : at + 4] == b"movi":
+        kind = data[at : at + 4]
+        if name == b"LIST" and kind == b"hdrl":
+            rate, video = _header(data, at + 4, at + size)
+        elif name == b"LIST" and kind == b"movi" and movi is None:
             movi = (at, size)
-        elif name == b"idx1":
-            index = np.frombuffer(data, "<u4", size // 16 * 4, at).reshape(-1, 4)
-    if movi is None:
-        return Movie(rate, [])
-    if index is not None:
-        rows = index[(index[:, 0] >> 16) == int.from_bytes(b"dc", "little")][:, 2:].tolist()
-        # Offsets count from the list's name, or from the file's start in some files.
-        base = movi[0] if not rows or data[movi[0] + rows[0][0] : movi[0] + rows[0][0] + 4][2:] == b"dc" else 0
-        return Movie(rate, [data[base + at + 8 : base + at + 8 + size] for at, size in rows])
-    return Movie(rate, [data[a : a + n] for name, a, n in _chunks(data, movi[0] + 4, movi[0] + movi[1]) if name[2:] == b"dc"])
+        elif name == b"idx1" and index is None:
+            index = np.frombuffer(data, "<u4", size // 16 * 4, at).reshape(-1, 4).astype(np.int64)
+        elif name == b"RIFF" and kind == b"AVIX":
+            further += [(a, n) for inner, a, n in _chunks(data, at + 4, at + size) if inner == b"LIST" and data[a : a + 4] == b"movi"]
+    names = tuple(b"%02d%s" % (video, kind) for kind in (b"dc", b"db"))
+    places = np.empty((0, 2), np.int64)
+    if movi is not None and index is not None:
+        places = index[np.isin(index[:, 0], [int.from_bytes(n, "little") for n in names])][:, 2:]
+        if len(places):
+            # Offsets count from the list's name, or from the file's start in some files.
+            first = movi[0] + int(places[0, 0])
+            places = places + [(movi[0] if data[first : first + 4] in names else 0) + 8, 0]
+    elif movi is not None:
+        further.insert(0, movi)
+    listed = [np.array(list(_in_movie(data, a + 4, a + n, names)), np.int64).reshape(-1, 2) for a, n in further]
+    return Movie(rate, data, np.concatenate([places, *listed]))
 
 
 def read_frames(frames: list[bytes]) -> np.ndarray:
@@ -192,14 +250,49 @@ def read_frames(frames: list[bytes]) -> np.ndarray:
 # --- any baseline frame
 
 
+# How many codes of 1, 2, ... bits the typical Huffman tables of the JPEG standard have, and the symbols of the AC tables in
+# the order of their codes, up to those of 16 bits. These are all other symbols, in ascending order.
+DC_COUNTS = [[0, 1, 5, 1, 1, 1, 1, 1, 1], [0, 3, 1, 1, 1, 1, 1, 1, 1, 1, 1]]
+AC_COUNTS = [[0, 2, 1, 3, 3, 2, 4, 3, 5, 5, 4, 4, 0, 0, 1, 125], [0, 2, 1, 2, 4, 4, 3, 4, 7, 5, 4, 4, 0, 1, 2, 119]]
+AC_FIRST = [
+    "01 02 03 00 04 11 05 12 21 31 41 06 13 51 61 07 22 71 14 32 81 91 a1 08 23 42 b1 c1 15 52 d1 f0 24 33 62 72 82",
+    "00 01 02 03 11 04 05 21 31 06 12 41 51 07 61 71 13 22 32 81 08 14 42 91 a1 b1 c1 09 23 33 52 f0 15 62 72 d1 0a 16 24 34 e1 25 f1",
+]
+
+
+@lru_cache(1)
+def typical_tables() -> dict[int, dict[tuple[int, int], int]]:
+    """The tables of frames that bring none, as motion-JPEG frames often do: by class (0x10: AC) and number."""
+    every = {0x00, 0xF0, *(run << 4 | size for run in range(16) for size in range(1, 11))}
+    found = {}
+    for i in range(2):
+        first = list(bytes.fromhex(AC_FIRST[i]))
+        for kind, counts, symbols in ((i, DC_COUNTS[i], list(range(12))), (0x10 | i, AC_COUNTS[i], first + sorted(every - set(first)))):
+            ends = np.cumsum(counts).tolist()
+            found[kind] = huffman([symbols[b - n : b] for n, b in zip(counts, ends)])
+    return found
+
+
 def decode_luma(data: bytes) -> np.ndarray:
-    """The first component (height x width, unsigned bytes) of a baseline JPEG frame, symbol by symbol. ValueError if it is none."""
-    tables: dict[int, dict] = {}
+    """The first component (height x width, unsigned bytes) of a baseline JPEG frame, symbol by symbol. ValueError if it is none.
+
+    A frame without Huffman tables has the typical ones.
+    """
+    try:
+        return _luma(data)
+    except (IndexError, KeyError, struct.error) as fault:
+        raise ValueError("a broken frame") from fault
+
+
+def _luma(data: bytes) -> np.ndarray:
+    tables = dict(typical_tables())
     quantisers: dict[int, np.ndarray] = {}
     parts, shape, interval, at = [], (0, 0), 0, 2
     if data[:2] != b"\xff\xd8":
         raise ValueError("not a JPEG frame")
     while True:
+        if at + 4 > len(data) or data[at] != 0xFF:
+            raise ValueError("a frame without a scan")
         marker, size = data[at + 1], int.from_bytes(data[at + 2 : at + 4], "big")
         body = data[at + 4 : at + 2 + size]
         at += 2 + size
@@ -226,14 +319,16 @@ def decode_luma(data: bytes) -> np.ndarray:
             break
         elif 0xC0 <= marker <= 0xCF:
             raise ValueError("not a baseline frame")
-        if at >= len(data):
-            raise ValueError("a frame without a scan")
+    if not parts or 0 in shape or any(0 in p[1:3] for p in parts):
+        raise ValueError("a frame without samples")
     wide, high = max(p[1] for p in parts), max(p[2] for p in parts)
     across, down = -(-shape[1] // (8 * wide)), -(-shape[0] // (8 * high))
     if len(parts) == 1:
         parts = [(parts[0][0], 1, 1, parts[0][3])]
         across, down = -(-shape[1] // 8), -(-shape[0] // 8)
         wide = high = 1
+    if across * down > 4 * (len(data) - at):  # a block has two bits at least
+        raise ValueError("a frame larger than its scan")
     reader = _Bits(data, at)
     blocks = np.zeros((down * parts[0][2], across * parts[0][1], 64))
     last = [0] * len(parts)
