@@ -123,8 +123,10 @@ def x60_excerpts(t):
 
 @query()
 def x11_sanitized_keywords(t):
-    raw = F.concat(F.lit("**Keywords: "), F.split("text", "[.\n]")[0], F.lit("**"))
-    return t.documents.select("doc_id", integrity.sanitized(raw).alias("s")).select("doc_id", "s.value", F.array_join("s.issues", ",").alias("issues"))
+    """Each sentence of each whole text as a keyword."""
+    sentences = t.documents.select("doc_id", F.posexplode(F.split("text", "[.\n]")).alias("place", "sentence"))
+    raw = F.concat(F.lit("**Keywords: "), "sentence", F.lit("**"))
+    return sentences.select("doc_id", "place", integrity.sanitized(raw).alias("s")).select("doc_id", "place", "s.value", F.array_join("s.issues", ",").alias("issues"))
 
 
 @query()

@@ -20,10 +20,10 @@ def f01_page_decision(t):
 
 
 @query("""select doc_id, case when lang = 'es' and n_chars % 5 = 0 then 'quality' when trim(text) = '' then 'empty' when length(trim(text)) < 25 and length(trim(h)) < 60 then 'short' when regexp_matches(lower(h), '^(the and|or the)') then 'low_value'
-when (contains(lower(h), 'thing')::int + contains(lower(h), 'tion')::int + contains(lower(h), 'with')::int) >= 2 then 'noise' end as reason from (select *, string_split(text, chr(10))[1] as h from documents)""")
+when (contains(lower(h), 'thing')::int + contains(lower(h), 'tion')::int + contains(lower(h), 'with')::int) >= 2 then 'noise' end as reason from (select *, text as h from documents)""")
 def f02_similarity_drop(t):
     quality = F.when((F.col("lang") == "es") & (F.col("n_chars") % 5 == 0), "drop").otherwise("ok")
-    return t.documents.select("doc_id", filters.similarity_drop(F.col("text"), F.split("text", "\n")[0], quality, "^(the and|or the)", ["thing", "tion", "with"]).alias("reason"))
+    return t.documents.select("doc_id", filters.similarity_drop(F.col("text"), F.col("text"), quality, "^(the and|or the)", ["thing", "tion", "with"]).alias("reason"))
 
 
 @query("""with c as (select doc_id, length(text) as n, unnest(string_split(text, '')) as ch from documents), g as (select doc_id, n, ch, count(*) as k from c group by doc_id, n, ch),
@@ -79,9 +79,11 @@ def f07_declared_status(t):
     return rows.select("o_custkey", filters.declared_status(F.lit("F"), F.col("o_custkey") % 5, F.col("s"), F.col("tomes")).alias("status"))
 
 
-@query(f"select doc_id from documents where {FOLD.format('string_split(text, chr(10))[1]')} <> 'the and attion to thanedble the, anea. eriner thanea.'")
+@query(f"select doc_id, len(list_filter(string_split(text, chr(10)), lambda x: {FOLD.format('x')} <> 'the and attion to thanedble the, anea. eriner thanea.'))::int as n_kept from documents")
 def f08_without_constant(t):
-    return t.documents.where(fn.fold_latin(F.split("text", "\n")[0]) != "the and attion to thanedble the, anea. eriner thanea.").select("doc_id")
+    """How many lines of each whole text stay when those that fold to a constant go."""
+    kept = F.filter(F.split("text", "\n"), lambda x: fn.fold_latin(x) != "the and attion to thanedble the, anea. eriner thanea.")
+    return t.documents.select("doc_id", F.size(kept).alias("n_kept"))
 
 
 @query("""with p as (select a.s_suppkey as a, b.s_suppkey as b, a.s_name as x, b.s_name as y from supplier a join supplier b on a.s_nationkey = b.s_nationkey and a.s_suppkey < b.s_suppkey)
@@ -103,7 +105,9 @@ def f11_number_distance(t):
 
 @query()
 def f12_reference_labels(t):
-    return t.documents.select("doc_id", filters.looks_like_reference(F.split("text", "\n")[0]).alias("reference"), filters.unbalanced(F.col("text")).alias("unbalanced"))
+    """Of each whole text how many lines and words are reference labels, and whether its brackets are unbalanced."""
+    found = lambda pattern: F.size(F.filter(F.split("text", pattern), filters.looks_like_reference))
+    return t.documents.select("doc_id", found("\n").alias("n_lines"), found(r"\s+").alias("n_words"), filters.unbalanced(F.col("text")).alias("unbalanced"))
 
 
 @query("select o_orderkey, 'no_lines' as issue from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey) union all select l_orderkey, 'no_order' from (select distinct l_orderkey from lineitem) where not exists (select 1 from orders where l_orderkey = o_orderkey) union all select o_orderkey, 'implausible' from orders where o_totalprice > 400000")
@@ -153,7 +157,7 @@ def x08_words(t):
 
 @query()
 def x09_keyword_keys(t):
-    return t.documents.select("doc_id", F.regexp_replace(fn.fold_unicode(F.split("text", "\n")[0]), r"(^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$)", "").alias("key"))
+    return t.documents.select("doc_id", F.regexp_replace(fn.fold_unicode(F.col("text")), r"(^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$)", "").alias("key"))
 
 
 @query(f"""select doc_id, len(list_distinct(regexp_extract_all({FOLD.format('text')}, '\\p{{L}}{{3,}}'))) as n_tokens from documents""")
@@ -206,11 +210,11 @@ def x28_fuzzy_thresholds(t):
     return t.part.select("p_partkey", fn.least_similarity(F.col("p_type")).alias("least"))
 
 
-@query(f"""with h as (select doc_id, string_split(text, chr(10))[1] as h from documents)
+@query(f"""with h as (select doc_id, text as h from documents)
 select doc_id, upper(regexp_replace({FOLD.format('h')}, '[^a-z0-9]+', '', 'g')) as key, coalesce(nullif(trim(regexp_replace({FOLD.format('h')}, '[^a-z0-9]+', '-', 'g'), '-'), ''), 'item') as slug, trim(regexp_replace(regexp_replace(lower(h), '[0-9]+', '#', 'g'), '[^a-z0-9#]+', ' ', 'g')) as fingerprint,
 case when length(h) > 40 then regexp_replace(h[1:40], '[\\s.,;:]+$', '') || '…' else h end as excerpt from h""")
 def x29_keys_and_slugs(t):
-    h = F.split("text", "\n")[0]
+    h = F.col("text")
     return t.documents.select("doc_id", fn.key_form(h).alias("key"), fn.slug(h).alias("slug"), fn.header_fingerprint(h).alias("fingerprint"), fn.excerpt(h, 40).alias("excerpt"))
 
 
@@ -296,10 +300,10 @@ def m07_neighbour_cosine(t):
     return pairs.select("a", "b", F.round(numbers.cosine(F.col("embedding"), F.col("f")), 5).alias("cosine"))
 
 
-@query("""with w as (select item_id, list_filter(string_split(lower(string_split(text, chr(10))[1]), ' '), lambda x: length(x) > 2) as ws from benchmark)
+@query("""with w as (select item_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda x: length(x) > 2) as ws from benchmark)
 select item_id, doc_id, round(case when len(ws) > 0 then len(list_filter(ws, lambda x: contains(lower(text), x))) / len(ws)::double else 0 end, 6) as overlap from w join documents on doc_id = item_id""")
 def m08_lexical_overlap(t):
-    pairs = t.benchmark.select("item_id", F.split("text", "\n")[0].alias("q")).join(t.documents, F.col("doc_id") == F.col("item_id"))
+    pairs = t.benchmark.select("item_id", F.col("text").alias("q")).join(t.documents, F.col("doc_id") == F.col("item_id"))
     return pairs.select("item_id", "doc_id", r6(numbers.lexical_overlap(F.col("q"), F.col("text"))).alias("overlap"))
 
 
