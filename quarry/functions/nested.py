@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -54,24 +55,45 @@ def json_object(text: pd.Series) -> pd.Series:
     return text.map(first_object, na_action="ignore")
 
 
-def _replaced(value, mapping: dict[str, str]):
+def _replaced(value, change):
     if isinstance(value, str):
-        return mapping.get(value, value)
+        return change(value)
     if isinstance(value, list):
-        return [_replaced(v, mapping) for v in value]
+        return [_replaced(v, change) for v in value]
     if isinstance(value, dict):
-        return {k: _replaced(v, mapping) for k, v in value.items()}
+        return {k: _replaced(v, change) for k, v in value.items()}
     return value
 
 
-def replace_strings(text: Column, mapping: dict[str, str]) -> Column:
-    """The JSON text with whole strings replaced, at any depth; what is no JSON stays."""
+def replacer(mapping: dict[str, str], whole_only: bool = False):
+    """What ``replace_strings`` does to one string."""
+    wanted = {k.strip().lower(): v for k, v in mapping.items() if k.strip()}
+    rules = [(re.compile(rf"(?<!\w){re.escape(k)}(?!\w)", re.IGNORECASE), wanted[k]) for k in sorted(wanted, key=len, reverse=True)]
+
+    def change(value: str) -> str:
+        whole = wanted.get(value.strip().lower())
+        if whole is not None:
+            return whole
+        for pattern, into in () if whole_only else rules:
+            value = pattern.sub(lambda _, into=into: into, value)
+        return value
+
+    return change
+
+
+def replace_strings(text: Column, mapping: dict[str, str], whole_only: bool = False) -> Column:
+    """The JSON text with the strings at any depth replaced; keys of objects and what is no JSON stay.
+
+    Case and blanks around a string or a key of the mapping do not count. A string that is a key becomes its value; in others, unless
+    ``whole_only``, each key that stands there as whole words is replaced, the longest keys first, one after the other.
+    """
+    change = replacer(mapping, whole_only)
 
     @F.pandas_udf(StringType())
     def run(texts: pd.Series) -> pd.Series:
         def one(t: str) -> str:
             try:
-                return json.dumps(_replaced(json.loads(t), mapping), ensure_ascii=False)
+                return json.dumps(_replaced(json.loads(t), change), ensure_ascii=False)
             except ValueError:
                 return t
 
@@ -110,4 +132,9 @@ def decode_json(value: bytes | str | None) -> str | None:
 
 def register(spark) -> None:
     """The SQL functions of this package."""
-    spark.udf.register("decode_json", decode_json, "string")
+
+    @F.pandas_udf(StringType())
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(decode_json, na_action="ignore")
+
+    spark.udf.register("decode_json", run)

@@ -356,9 +356,18 @@ def n04_any_kind(t):
 
 @query()
 def n05_embedded_json(t):
-    """The object in an answer with words around it (N05), its strings replaced."""
+    """The object in an answer with words around it."""
     answer = F.concat(F.lit("Sure: {not json} "), F.col("props"), F.lit(" - done"))
-    return t.events.select("event_id", nested.json_object(answer).alias("object"), nested.replace_strings(F.to_json(F.struct("event_type")), {"view": "seen"}).alias("replaced"))
+    return t.events.select("event_id", nested.json_object(answer).alias("object"))
+
+
+@query("""with m as (select *, case event_type when 'view' then 'seen' when 'click' then 'pressed' end as fixed from events)
+select event_id, '{"kind": "' || coalesce(fixed, ' ' || event_type) || '", "notes": ["a ' || coalesce(fixed, upper(event_type[1]) || event_type[2:]) || ', not a re' || event_type || ' of ' || user_id || '"]}' as replaced from m""")
+def x52_replaced_strings(t):
+    """Strings of JSON texts replaced as a whole or at whole words."""
+    note = F.concat(F.lit("a "), F.initcap("event_type"), F.lit(", not a re"), "event_type", F.lit(" of "), F.col("user_id").cast("string"))
+    text = F.to_json(F.struct(F.concat(F.lit(" "), "event_type").alias("kind"), F.array(note).alias("notes")))
+    return t.events.select("event_id", nested.replace_strings(text, {"view ": "seen", "Click": "pressed"}).alias("replaced"))
 
 
 @query("""select event_id, list_transform(range((event_id % 9 + 1)::bigint, (event_id % 9 + 4)::bigint), lambda x: x::int) || [(event_id % 9 + 7)::int] as verses from events""")

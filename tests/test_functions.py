@@ -70,6 +70,11 @@ def test_json(spark):
     assert one(spark, nested.json_items(F.col("t"), "keywords_ranking", "keywords"), t='{"keywords": ["a", "b"]}') == ["a", "b"]
     assert one(spark, nested.json_items(F.col("t"), "keywords"), t='["x"]') == ["x"]
     assert one(spark, nested.json_object(F.col("t")), t='no {bad} but {"b": 1, "a": {"c": "}"}} end') == '{"a": {"c": "}"}, "b": 1}'
+    change, whole = (nested.replacer({"Saint John": "John", " john ": "J\\1", "": "x"}, only) for only in (False, True))
+    assert [change(v) for v in (" SAINT john", "saint john, Johnson", "of John.", "")] == ["John", "J\\1, Johnson", "of J\\1.", ""]
+    assert [whole(v) for v in ("JOHN", "of John.")] == ["J\\1", "of John."]
+    assert one(spark, nested.replace_strings(F.col("t"), {"a b": "c"}), t='{"a b": ["A b", 1, {"k": "x a b"}]}') == '{"a b": ["c", 1, {"k": "x c"}]}'
+    assert one(spark, nested.replace_strings(F.col("t"), {"a": "c"}), t="a no json") == "a no json"
     assert one(spark, nested.expand_range(F.col("t")), t="3-5, 9, x, 7-2") == [3, 4, 5, 9]
     assert one(spark, nested.any_kind(F.col("t"), ["a"]), t="no json") is False
     lines = one(spark, nested.category_lines(F.col("t")), t="- **Persons**: Paul, Peter; Mark\nnothing\nPlaces:")
