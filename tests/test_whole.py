@@ -98,9 +98,10 @@ def test_every_item_against_all_documents(spark, tables):
         assert sorted(got[i], reverse=True) == pytest.approx(want, abs=2e-5)
 
 
-def test_evidence_far_from_the_items_number(spark, tmp_path):
-    spark.createDataFrame([(1, "The wanted line of text\nand more"), (2, "Quite another thing")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    rows = [(90_000, "first\nthe wantd line of texts", "en", "s", 1), (5, "nothing", "en", "s", 1), (7, "QUITE another thing", "en", "s", 1)]
-    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
-    got = {(r.item_id, r.page): r.distance for r in QUERIES["p16_located_evidence"](spark, str(tmp_path)).collect()}
-    assert got == {(1, 90_000): round(2 / 23, 6), (2, 7): 0.0}
+def test_evidence_far_from_the_items_number(spark):
+    from quarry.operators import evidence
+
+    items = spark.createDataFrame([(1, "The wanted line of text"), (2, "Quite another thing")], "item_id long, wanted string")
+    rows = [(90_000, "first\nthe wantd line of texts"), (5, "nothing"), (7, "QUITE another thing")]
+    found = evidence.located_anywhere(items, spark.createDataFrame(rows, "doc_id long, text string"), "item_id", "wanted", "doc_id", "text")
+    assert {(r.item_id, r.doc_id): round(r.distance, 6) for r in found.collect()} == {(1, 90_000): round(2 / 23, 6), (2, 7): 0.0}
