@@ -125,6 +125,28 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = 24, rank: int =
     return Machine(bits, seen[chosen], float(b), w, v)
 
 
+def _active_terms(used: DataFrame, chosen) -> DataFrame:
+    """doc_id, terms: the active ones of each text, sorted; one row for each row, however many terms its text has.
+
+    ``chosen``: an Arrow table of term and stem, whether a stem that stands in a text counts as this term; at most ``max_buckets`` rows.
+    """
+    import pyarrow as pa
+
+    terms, stem = np.asarray(chosen["term"], np.int64), np.asarray(chosen["stem"], bool)
+    shared = used.sparkSession.sparkContext.broadcast((terms, terms[stem]))
+
+    def run(batches):
+        active, stems = shared.value
+        for batch in batches:
+            own = []
+            for words, tagged in zip(batch.column(1), batch.column(2)):
+                words, tagged = np.asarray(words.values, np.int64), np.asarray(tagged.values, np.int64) >> 3
+                own.append(np.union1d(words[np.isin(words, active)], tagged[np.isin(tagged, stems)]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["doc_id", "terms"])
+
+    return used.select("doc_id", "words", "stems").mapInArrow(run, "doc_id long, terms array<long>")
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_texts: int = 12_000, max_terms: int = 1 << 23, bits: int = 24, min_texts: int = 3, min_z: float = 4.0, max_buckets: int = 1 << 15, **options) -> Machine:
     """A machine from the labelled texts.
 
@@ -165,8 +187,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     z = F.abs(F.col("with1") / n1 - (F.col("n") - F.col("with1")) / (n - n1)) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / (n - n1)))
     active = counts.withColumn("z", z).where(F.col("z") >= min_z).orderBy(F.desc("z"), "term").limit(max_buckets).select("term")
     data = dict.fromkeys(kept, np.empty(0, np.int64))
-    for batch in rows.join(F.broadcast(active), "term").groupBy("doc_id").agg(F.sort_array(F.collect_list("term")).alias("terms")).toArrow().to_batches():
-        data |= {doc_id: np.asarray(own.values, np.int64) for doc_id, own in zip(batch.column(0).to_pylist(), batch.column(1))}
+    chosen = active.join(shared.withColumn("stem", F.lit(True)), "term", "left").select("term", F.coalesce("stem", F.lit(False)).alias("stem"))
+    for batch in _active_terms(used, chosen.toArrow()).toArrow().to_batches():
+        data |= {doc_id: np.asarray(own.values, np.int64) for doc_id, own in zip(batch.column(0).to_pylist(), batch.column(1)) if len(own)}
     return fit(list(data.values()), np.array(list(kept.values()), float), bits, min_texts=min_texts, min_z=min_z, max_buckets=max_buckets, **options)
 
 

@@ -91,3 +91,19 @@ def test_messy(spark, messy, empty):
 def test_bound_on_texts(spark, messy):
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 8)], "doc_id long, toxic int")
     assert t.learn(messy, labels, max_texts=2, max_terms=10) is not None
+
+
+def test_no_row_for_each_active_term(spark, monkeypatch):
+    """Texts that share many active words: the machine is that of plain Python, and no inner join by term makes a row for each of them."""
+    words = [f"w{c}{d}" for c in "abcdefgh" for d in "abcdefgh"]
+    texts = {i: " ".join([*words, "insulting insulted insults"] if i % 3 == 0 else ["plain", f"own{i}", "insulter"]) for i in range(60)}
+    marks = {i: int(i % 3 == 0) for i in texts}
+    joins, kind = [], type(spark.range(1))
+    join = kind.join
+    monkeypatch.setattr(kind, "join", lambda self, other, on=None, how=None: joins.append((on, how or "inner")) or join(self, other, on, how))
+    made = t.learn(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), spark.createDataFrame(list(marks.items()), "doc_id long, toxic int"))
+    order = spark.createDataFrame([(i,) for i in texts], "doc_id long").selectExpr("doc_id", "xxhash64(doc_id) h").orderBy("h", "doc_id").collect()
+    want = slow_machine(texts, {r.doc_id: marks[r.doc_id] for r in order})
+    assert len(want.buckets) > 60 and made.buckets.tolist() == want.buckets.tolist()
+    assert made.weights == pytest.approx(want.weights) and made.factors == pytest.approx(want.factors)
+    assert joins and ("term", "inner") not in joins
