@@ -3,10 +3,7 @@
 import random
 from itertools import product
 
-import pytest
-
 from quarry.operators import evidence, joins
-from quarry.plans.registry import QUERIES
 
 
 def most_rows(frame):
@@ -41,3 +38,19 @@ def test_seed_links_are_counted_not_made(spark):
     rows, most = most_rows(joins.seed_link_counts(s, o, p, "m", "volume", "page"))
     assert {(r.seed_id, r.score): r.n for r in rows} == want and {score for _, score in want} == {0.82, 0.99}
     assert sum(want.values()) > 10_000 and most < 5_000
+
+
+def test_survey_counts_pages_by_number(spark):
+    draw = random.Random(4)
+    entries = [(draw.choice([1, 2, None]), draw.choice([*range(300), None]), draw.choice([*range(10), None])) for _ in range(600)]
+    pages = [(draw.choice([1, 2, None]), draw.choice([*range(2000), None]), draw.choice([*range(12), None])) for _ in range(1000)]
+    hits = {}
+    for (v, e, n), (w, p, m) in product(entries, pages):
+        if None not in (v, e, n, m) and v == w and abs(m - n) <= 2:
+            hits.setdefault((v, e), []).append((abs(m - n), -1 if p is None else p))
+    key = lambda own: (sum(d == 0 for d, _ in own), sum(d > 0 for d, _ in own), (lambda p: None if p == -1 else p)(min(own)[1]) if own else None)
+    want = sorted(str((v, e, *key(hits.get((v, e), [])))) for v, e, _ in entries)
+    e, p = spark.createDataFrame(entries, "volume int, entry int, number int"), spark.createDataFrame(pages, "volume int, page int, printed int")
+    rows, most = most_rows(evidence.survey(e, p, "volume", "entry", "number", "page", "printed"))
+    assert sorted(str(tuple(r)) for r in rows) == want
+    assert sum(map(len, hits.values())) > 40_000 and most < 2_000
