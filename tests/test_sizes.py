@@ -4,6 +4,7 @@ import random
 from itertools import product
 
 from quarry.operators import evidence, joins
+from quarry.plans.registry import QUERIES
 
 
 def most_rows(frame):
@@ -54,3 +55,13 @@ def test_survey_counts_pages_by_number(spark):
     rows, most = most_rows(evidence.survey(e, p, "volume", "entry", "number", "page", "printed"))
     assert sorted(str(tuple(r)) for r in rows) == want
     assert sum(map(len, hits.values())) > 40_000 and most < 2_000
+
+
+def test_header_candidates_are_joined_once(spark, tmp_path):
+    """Many headers around one number: the join makes the result's rows, not one for each header."""
+    orders = [(o, 1, "P") for o in range(7)] + [(o, c, "O") for o in range(3) for c in range(5)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(500 * i + n,) for i in range(200) for n in range(20)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    rows, most = most_rows(QUERIES["r07_header_candidates"](spark, str(tmp_path)))
+    want = {(1, 500 * i + n, max(0, n - 6), 1 if n <= 6 else 2 if n == 7 else 3) for i in range(200) for n in range(10)}
+    assert sorted(tuple(r) for r in rows) == sorted(want) and most <= 4_000
