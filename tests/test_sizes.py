@@ -94,3 +94,28 @@ def test_density_clusters_without_pairs(spark, least):
     rows, most = most_rows(clustering.density_clusters(frame, "id", "e", 0.5, least, block=200))
     assert {tuple(x) for x in rows} == want | {(7, 7 if least == 1 else None, least == 1)}
     assert near.sum() > 80_000 and most < 10_000
+
+
+def test_near_lines_against_a_table_of_edits():
+    import numpy as np
+
+    def slow(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            was, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                was, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, was + (x != y))
+        return row[-1]
+
+    draw = random.Random(6)
+    base = ["".join(draw.choice("abcé ") for _ in range(n)) for n in (1, 5, 63, 64, 65, 128, 129, 200)]
+    lines = [""]
+    for text in base:
+        for rate in (0, 0.1, 0.2, 0.25, 0.3, 0.5):
+            lines.append("".join(draw.choice(["", "x", c + "b"]) if draw.random() < rate else c for c in text))
+    asks = [(t, t, len(t)) for t in base]
+    got = {(w, at): d for w, at, d in evidence.near_lines(asks, lines, np.array([len(x) for x in lines]), 0.25)}
+    want = {(t, i): d for t in base for i, x in enumerate(lines) if (d := slow(t, x) / max(len(t), len(x))) <= 0.25}
+    many = lines * 60  # enough texts for the bit vectors of 64 rows
+    assert {(w, at % len(lines)): d for w, at, d in evidence.near_lines(asks, many, np.array([len(x) for x in many]), 0.25)} == pytest.approx(want)
+    assert got == pytest.approx(want) and 20 < len(want) < len(base) * len(lines) / 4
