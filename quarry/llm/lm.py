@@ -18,7 +18,7 @@ a binary logarithm (2.2 % at most), of which a table of a bounded size is all th
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -111,8 +111,8 @@ def _schema(ddl: str) -> pa.Schema:
 class Block:
     """A block's tokens, with the sorted distinct keys of its words and pairs."""
 
-    tokens: np.ndarray | None
-    train: np.ndarray | None  # of each token
+    tokens: np.ndarray
+    train: np.ndarray  # of each token
     word_order: np.ndarray  # sorted place to word number
     word_keys: np.ndarray
     pair_keys: np.ndarray
@@ -142,10 +142,28 @@ def _cuts(keys: np.ndarray, ranges: int) -> list[int]:
     return np.append(np.searchsorted(keys, np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)), len(keys)).tolist()
 
 
-def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys with the sums of their counts."""
-    own, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return own, np.bincount(place, np.concatenate(counts).astype(np.float64), len(own)).astype(np.int64)
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with the sums of their counts; the list is emptied, so that its arrays go before those of the sums come."""
+    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+    parts.clear()
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ np.uint64(1)))
+    return keys[first], np.add.reduceat(counts[order], first, dtype=np.int64)
+
+
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    """Sorted distinct keys; the list is emptied."""
+    keys = np.concatenate(parts)
+    parts.clear()
+    keys.sort()
+    return keys[np.diff(keys, prepend=keys[:1] ^ np.uint64(1)) != 0]
+
+
+def _in_order(group: pa.Table):
+    """The rows of a run's blocks, each read when it is asked for."""
+    for i in np.argsort(group.column("block").to_numpy()).tolist():
+        yield group.slice(i, 1).to_pylist()[0]
 
 
 def totals(found: DataFrame, ranges: int) -> DataFrame:
@@ -154,16 +172,19 @@ def totals(found: DataFrame, ranges: int) -> DataFrame:
     asked = _schema(request)
 
     def ask(group: pa.Table) -> pa.Table:
-        rows = sorted(group.to_pylist(), key=lambda r: r["block"])
-        both = zip(*(Block.read(row).counts() for row in rows))
+        run = group.column("run")[0].as_py()
+        both: tuple[list, list] = ([], [])
+        for row in _in_order(group):
+            for own, (keys, counts) in zip(both, Block.read(row).counts()):
+                own.append((keys, counts.astype(np.uint32)))
         columns: list[list] = [[] for _ in range(5)]
         for order, found in enumerate(both, 1):
-            keys, counts = _added(*zip(*found))
+            keys, counts = _added(found)
             at = _cuts(keys, ranges)
             for i in range(ranges):
                 if at[i] < at[i + 1]:
                     part = slice(at[i], at[i + 1])
-                    for column, value in zip(columns, (i, rows[0]["run"], order, planes(keys[part], True), planes(counts[part]))):
+                    for column, value in zip(columns, (i, run, order, planes(keys[part], True), planes(counts[part]))):
                         column.append(value)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, asked)], schema=asked)
 
@@ -192,27 +213,40 @@ def totals(found: DataFrame, ranges: int) -> DataFrame:
 JOINED = "block long, owned long, ids array<long>, sizes array<int>, train array<boolean>, tokens binary, word_totals binary, pair_totals binary"
 
 
+def join(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A run's blocks with its totals. One block's pairs are held at a time: they are made once for the run's keys and once to be looked up."""
+    word_keys, own_pairs = [], []
+    for row in _in_order(left):
+        block = Block.read(row)
+        word_keys.append(block.word_keys)
+        own_pairs.append(block.pair_keys)
+        del block
+    asked = [_distinct(word_keys), _distinct(own_pairs)]
+    answers = sorted(right.to_pylist(), key=lambda r: (r["order"], r["range"]))
+    owned = sum(r["owned"] for r in answers if r["order"] == 1)
+    words, pairs = (np.concatenate([_narrow(unplanes(r["totals"])) for r in answers if r["order"] == order]) for order in (1, 2))
+    del answers
+    out: list[pa.RecordBatch] = []
+    for row in _in_order(left):
+        block = Block.read(row)
+        by_number = np.empty(len(block.word_keys), np.uint64)
+        by_number[block.word_order] = words[np.searchsorted(asked[0], block.word_keys)]
+        own = pairs[np.searchsorted(asked[1], block.pair_keys)][block.pair_of]
+        del block
+        values = (row["block"], owned, row["ids"], row["sizes"], row["train"], row["tokens"], planes(by_number), planes(own))
+        owned = 0
+        out.append(pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _schema(JOINED))], schema=_schema(JOINED)))
+    return pa.Table.from_batches(out, schema=_schema(JOINED))
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """In 32 bits if all fit."""
+    return values.astype(np.uint32) if not len(values) or values.max() < 1 << 32 else values
+
+
 def joined(found: DataFrame, answers: DataFrame) -> DataFrame:
     """Each block with the totals of its words (by number) and of the pair at each token; a run's first block has what the run owns."""
 
-    def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = sorted(left.to_pylist(), key=lambda r: r["block"])
-        answers = sorted(right.to_pylist(), key=lambda r: (r["order"], r["range"]))
-        read = [replace(Block.read(row), tokens=None, train=None) for row in rows]
-        asked = [np.unique(np.concatenate(keys)) for keys in zip(*((b.word_keys, b.pair_keys) for b in read))]
-        words, pairs = (np.concatenate([unplanes(r["totals"]) for r in answers if r["order"] == order]) for order in (1, 2))
-        owned = sum(r["owned"] for r in answers if r["order"] == 1)
-        out: dict[str, list] = {name: [] for name in _schema(JOINED).names}
-        for row, block in zip(rows, read):
-            by_number = np.empty(len(block.word_keys), np.uint64)
-            by_number[block.word_order] = words[np.searchsorted(asked[0], block.word_keys)]
-            own = pairs[np.searchsorted(asked[1], block.pair_keys)][block.pair_of]
-            values = (row["block"], owned, row["ids"], row["sizes"], row["train"], row["tokens"], planes(by_number), planes(own))
-            owned = 0
-            for column, value in zip(out.values(), values):
-                column.append(value)
-        return pa.Table.from_pydict(out, schema=_schema(JOINED))
-
     return found.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(join, JOINED)
 
 
