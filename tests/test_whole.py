@@ -105,3 +105,15 @@ def test_evidence_far_from_the_items_number(spark):
     rows = [(90_000, "first\nthe wantd line of texts"), (5, "nothing"), (7, "QUITE another thing")]
     found = evidence.located_anywhere(items, spark.createDataFrame(rows, "doc_id long, text string"), "item_id", "wanted", "doc_id", "text")
     assert {(r.item_id, r.doc_id): round(r.distance, 6) for r in found.collect()} == {(1, 90_000): round(2 / 23, 6), (2, 7): 0.0}
+
+
+def test_equal_names_are_measured_once(spark, tmp_path):
+    """Sixty customers to a name: all their pairs in the result, but the distances stand below the pairing of customers."""
+    rows = [(i, ["Customer#1", "Customer#22", None, "Client#1"][i % 4], 1, "A") for i in range(240)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    found = QUERIES["x21_edit_distances"](spark, str(tmp_path))
+    got = found.collect()
+    assert {(r.a, r.b) for r in got} == set(combinations(range(240), 2)) and len(got) == 240 * 239 // 2
+    assert {r.distance for r in got if r.a % 4 == 0 and r.b % 4 == 1} == {2} and {r.distance for r in got if r.a % 4 == r.b % 4 == 3} == {0}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "levenshtein" in plan and plan.rindex("Generate explode(y_keys") < plan.index("levenshtein")
