@@ -117,3 +117,38 @@ def test_equal_names_are_measured_once(spark, tmp_path):
     assert {r.distance for r in got if r.a % 4 == 0 and r.b % 4 == 1} == {2} and {r.distance for r in got if r.a % 4 == r.b % 4 == 3} == {0}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "levenshtein" in plan and plan.rindex("Generate explode(y_keys") < plan.index("levenshtein")
+
+
+def test_near_pairs_shuffle_prefixes_alone(spark):
+    """Copies are compared once and all their pairs are there; a line that all have is last in the order, so it makes no candidates."""
+    from quarry.operators import similarity as ops
+
+    shared = list(range(1000, 1010))
+    sets = {i: shared + [10_000 * (i // 3) + k for k in range(40)] + ([-i - 1] if i % 3 == 2 else []) for i in range(60)}
+    frame = spark.createDataFrame(list(sets.items()), "doc long, terms array<long>")
+    want = {(a, b): len(set(x) & set(y)) / len(set(x) | set(y)) for (a, x), (b, y) in combinations(sets.items(), 2)}
+    got = {(r.a, r.b): r.jaccard for r in ops.jaccard_pairs(frame, 0.85, 20).collect()}
+    assert got == {k: v for k, v in want.items() if v >= 0.85}
+    classes, near = ops.near_sets(frame, 0.85, 20)
+    assert classes.where("doc = first").count() == 40 and near.count() == 20
+    heads = ops._heads(frame, 0.85, 20).collect()
+    assert all(len(r.prefix) < 10 and not set(r.prefix) & set(shared) for r in heads)
+
+
+def test_page_matches_below_the_levels(spark):
+    """Pairs of volumes with too few similar pages go down to pages with one common term."""
+    from quarry.operators import similarity as ops
+
+    pages = {i: ("v" + str(i % 3), [i // 3 * 100 + k for k in range(10)] + [7_000_000 + i % 2]) if i < 30 else ("w", [100 * i + k for k in range(9)] + [i % 3]) for i in range(36)}
+    frame = spark.createDataFrame([(v, i, i, x) for i, (v, x) in pages.items()], "volume string, page long, doc long, terms array<long>")
+    got = {tuple(r) for r in ops.greedy_matches(frame, ["left_volume", "right_volume"]).select("left_volume", "right_volume", "left_page", "right_page").collect()}
+    want = set()
+    for a, b in combinations(sorted({v for v, _ in pages.values()}), 2):
+        scored = sorted((-len(set(x) & set(y)) / len(set(x) | set(y)), i, j) for i, (v, x) in pages.items() for j, (w, y) in pages.items() if (v, w) == (a, b) and set(x) & set(y))
+        left, right = set(), set()
+        for _, i, j in scored:
+            if i not in left and j not in right and len(left) < 5:
+                left.add(i)
+                right.add(j)
+                want.add((a, b, i, j))
+    assert got == want and any(r[1] == "w" for r in want) and any(r[0] == "v0" for r in want)
