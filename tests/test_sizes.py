@@ -119,3 +119,28 @@ def test_near_lines_against_a_table_of_edits():
     many = lines * 60  # enough texts for the bit vectors of 64 rows
     assert {(w, at % len(lines)): d for w, at, d in evidence.near_lines(asks, many, np.array([len(x) for x in many]), 0.25)} == pytest.approx(want)
     assert got == pytest.approx(want) and 20 < len(want) < len(base) * len(lines) / 4
+
+
+def test_similar_pairs_make_no_rows_of_unlike_documents(spark, tmp_path, monkeypatch):
+    """Documents that share many words and are not alike, copies, near copies, repeated and null ids: the SQL's rows, and no row for each candidate."""
+    from quarry.operators import similarity
+    from quarry.plans.registry import SQL
+
+    from .oracle import assert_same, connect
+
+    monkeypatch.setattr(similarity, "BLOCK", 50, raising=False)
+    monkeypatch.setattr(similarity, "VOCABULARY", 200, raising=False)
+    draw = random.Random(9)
+    names = ["".join(draw.choice("abcdefgh") for _ in range(4)) for _ in range(900)]
+    texts = [" ".join(draw.choice(names[i % 3 * 300 :][:300]) for _ in range(60)) for i in range(240)]
+    texts[100:112] = [texts[7]] * 12
+    texts[120:140] = [t.replace(" ", " x ", 30).rsplit(" ", 8)[0] + " other end" for t in texts[:20]]
+    texts[150:153] = ["", None, "of a"]
+    rows = [(i if i < 200 else 200 + i // 4, "s", t) for i, t in enumerate(texts)] + [(None, "s", texts[3]), (None, "s", texts[4])]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(1).write.parquet(f"{tmp_path}/t")
+    (path,) = (tmp_path / "t").glob("*.parquet")
+    path.rename(tmp_path / "documents.parquet")
+    frame = QUERIES["j09_similar_pairs"](spark, str(tmp_path))
+    assert_same(frame, connect(str(tmp_path)).sql(SQL["j09_similar_pairs"]))
+    found, most = most_rows(frame)
+    assert len(found) > 80 and most < 2_000
