@@ -312,3 +312,24 @@ def test_compared_measures_each_gap_once(monkeypatch):
     found = chunks.compared(text.replace("consubstantialem", "consubst antialem"), text)
     assert found == {"n_same": 900, "n_changed": 300, "n_omitted": 0, "n_added": 0, "n_unresolved": 0, "coverage": 1.0}
     assert len(calls) < 100
+
+
+def test_compared_pages_align_every_gap(spark):
+    """Gaps of any size are aligned: repeated lines, whose runs are no anchors, and lists without a common word; long lists as short ones."""
+    import difflib
+    import random
+
+    draw = random.Random(10)
+    for _ in range(300):
+        a = [draw.choice("abcdef"[: draw.randrange(1, 7)]) for _ in range(draw.randrange(1, 40))]
+        b = [w for w in a if draw.random() > 0.2] + [draw.choice("abxyz") for _ in range(draw.randrange(8))]
+        assert chunks._long_blocks(a, b) == [tuple(m) for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()]
+        a, b = (["".join(draw.choice("abrn1m") for _ in range(draw.randrange(1, 6))) for _ in range(draw.randrange(1, 12))] for _ in range(2))
+        want = chunks._linked.__wrapped__(tuple(a), tuple(b))
+        assert chunks._long_linked(a, b) == chunks._long_linked(a, b, stored=draw.choice([1, 3, 7])) == want
+    apart = [" ".join(f"{c}{i % 90}" for i in range(n)) for c, n in (("a", 600), ("b", 500))]
+    line = "in principio erat consubstantialem et verbum "
+    rows = spark.createDataFrame([(line.replace("consubstantialem", "consubst antialem") * 150, line * 150), tuple(apart)], "c string, r string")
+    repeated, unlike = (r.c.asDict() for r in rows.select(chunks.compared_pages("c", "r").alias("c")).collect())
+    assert repeated == {"n_same": 750, "n_changed": 150, "n_omitted": 0, "n_added": 0, "n_unresolved": 0, "coverage": 1.0}
+    assert unlike["n_unresolved"] == 0 and unlike["n_changed"] + unlike["n_omitted"] == 500 and unlike["n_changed"] > 400
