@@ -1,7 +1,7 @@
 """Queries whose joins once made a row for each pair: the same results, and no step with more rows than inputs and results account for."""
 
 import random
-from itertools import product
+from itertools import groupby, product
 
 import pytest
 
@@ -166,3 +166,16 @@ def test_edit_pairs_in_blocks(spark, tmp_path):
     assert most <= len(found) and len(found) > 5_000
     small = similarity.edit_pairs(spark.read.parquet(f"{tmp_path}/customer.parquet"), ["c_nationkey", "c_mktsegment"], "c_custkey", "c_name", block=30, batch=64)
     assert_same(small, want)
+
+
+def test_header_candidates_follow_in_order(spark, tmp_path):
+    """Each reference is followed by its pages in order, the same for all references of a number, so that a stored result is small."""
+    draw = random.Random(12)
+    orders = [(500 * i + draw.randrange(5, 7), draw.randrange(10**6), "P") for i in range(1200)]
+    pages = [500 * draw.randrange(10**6) + n for n in range(20) for _ in range(60)]
+    draw.shuffle(pages)
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(p,) for p in pages], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    rows = QUERIES["r07_header_candidates"](spark, str(tmp_path)).collect()
+    runs = [[r.page for r in own] for _, own in groupby(rows, lambda r: (r.ref, r.page % 500))]
+    assert len(rows) > 400_000 and len(runs) < 9_000 and all(own == sorted(own) for own in runs)
