@@ -179,3 +179,19 @@ def test_header_candidates_follow_in_order(spark, tmp_path):
     rows = QUERIES["r07_header_candidates"](spark, str(tmp_path)).collect()
     runs = [[r.page for r in own] for _, own in groupby(rows, lambda r: (r.ref, r.page % 500))]
     assert len(rows) > 400_000 and len(runs) < 9_000 and all(own == sorted(own) for own in runs)
+
+
+def test_edits_in_bands_of_words():
+    """Long forms against texts of many lengths, with bounds of several sizes: as one integer a text finds them."""
+    import numpy as np
+
+    draw = random.Random(13)
+    for n, most in ((70, 0.25), (300, 0.25), (300, 0.1), (500, 0.9)):
+        form = [draw.randrange(4) for _ in range(n)]
+        rate = [draw.random() * most * 1.2 for _ in range(300)]
+        texts = [[c for x in form for c in draw.choice([[], [x, 1], [draw.randrange(5)]]) + []] if r > most else [c for x in form for c in (draw.choice([[], [x, 1], [4]]) if draw.random() < r else [x])] for r in rate]
+        lengths = np.array([len(x) for x in texts])
+        bound = np.floor(most * np.maximum(lengths, n)).astype(np.int64)
+        got = evidence._edits(form, np.array(sum(texts, [])), 5, np.cumsum(lengths) - lengths, lengths, bound)
+        want = [evidence._long_edits(form, x, k) for x, k in zip(texts, bound.tolist())]
+        assert got.tolist() == want and sum(x >= 0 for x in want) > 20
